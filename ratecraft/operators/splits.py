@@ -42,12 +42,12 @@ def add_strata(df: DataFrame, y: str = "rating", groups: int = QUANTILE_GROUPS)
 
     ``percentile`` is exact and keeps a value->count map per partition, so its
     memory follows the number of distinct ratings (10 on a half-star scale), not
-    the number of rows.  The one-row edge table is broadcast to every task.
+    the number of rows.  The edges enter the row plan as a scalar subquery.
     """
-    edges = df.agg(F.percentile(F.col(y), quantile_probs(groups)).alias("_edges"))
-    return (df.crossJoin(F.broadcast(edges))
-            .withColumn("stratum", stratum_of(y, "_edges"))
-            .drop("_edges"))
+    edges = df.select(F.percentile(F.col(y), quantile_probs(groups))).scalar()
+    return (df.withColumn("_edges", edges)
+              .withColumn("stratum", stratum_of(y, "_edges"))
+              .drop("_edges"))
 
 
 def holdout_flags(df: DataFrame, p: float, seed, keys=ROW_KEYS, by=("stratum",),
@@ -132,9 +132,7 @@ def resamples(df: DataFrame, times: int = 5, p: float = 0.2, seed: str = RESAMPL
     with ``draw`` (1..times) and ``is_test``.  Strata are computed once (as one
     multi-draw partition call does); each draw has its own hash seed.  Test
     rows with an unseen user or movie in their draw are dropped."""
-    spark = df.sparkSession
-    draws = spark.range(1, times + 1).select(F.col("id").cast("int").alias("draw"))
-    x = add_strata(df, y).crossJoin(F.broadcast(draws))
+    x = add_strata(df, y).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(times))))
     seed_col = F.concat_ws(".", F.lit(seed), F.col("draw").cast("string"))
     x = holdout_flags(x, p, seed_col, by=("draw", "stratum"))
     x = known_flag(x, ~F.col("is_test"), by=("draw",))

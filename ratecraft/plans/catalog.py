@@ -14,9 +14,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratecraft.functions.columns import NO_GENRE_COLUMN, NO_GENRE_LABEL, lambda_grid_values
 from ratecraft.operators import effects as fx
+from ratecraft.operators import explore as ex
+from ratecraft.operators import factorization as mf
 from ratecraft.operators import genres as gx
+from ratecraft.operators import report as rp
+from ratecraft.operators import splits as sp
+from ratecraft.operators import tuning as tu
 from ratecraft.plans import stages
+from ratecraft.sources.fixture import fixture_ratings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +36,25 @@ LAMBDA_REVIEW = 5.0
 HORROR_STAND_IN = "T_PROMO"
 ACTION_STAND_IN = "bolt"
 SIGNIFICANT_TOP_K = 8
+SIGNIFICANT_MIN_SHARE = 0.1
+BASE_COLUMNS = ["userId", "movieId", "rating", "timestamp", "title", "genres"]
+WIDE_KEYS = ["userId", "movieId", "rating", "title", "release_year", "review_year"]
+
+# Lambda grids of the reference's four searches: (lo, hi, step).
+GRIDS = {
+    "lambda_grid": (["movieId", "userId", "release_year"], (2.0, 10.0, 0.25), None),
+    "lambda_grid_review": (REVIEW_KEYS, (4.0, 6.0, 0.25), None),
+    "lambda_grid_genres": (REVIEW_KEYS + ["genres"], (4.5, 6.0, 0.25), None),
+    "lambda_grid_flags": (REVIEW_KEYS, (4.5, 5.75, 0.25), "top"),
+}
+
+# Factorization settings (ALS stands in for the reference's SGD trainer).
+MF_TUNE_RANKS = [10, 20, 30]
+MF_TUNE_REGS = [0.1]
+MF_TUNE_ITER = 5
+MF_RANK = 30
+MF_REG = 0.1
+MF_ITER = 20
 
 
 def round6(c: Column) -> Column:
@@ -43,10 +69,10 @@ def rounded(df: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- models
 
-def _flag_model_frames(spark, sf_dir, flag_genres: list[str]):
-    tr = gx.with_genre_flags(stages.train_set(spark, sf_dir), flag_genres, prefix="g")
-    ts = gx.with_genre_flags(stages.test_set(spark, sf_dir), flag_genres, prefix="g")
-    return tr, ts, [f"g{i}" for i in range(1, len(flag_genres) + 1)]
+def _flag_frames(tr: DataFrame, ts: DataFrame, flag_genres: list[str]):
+    return (gx.with_genre_flags(tr, flag_genres, prefix="g"),
+            gx.with_genre_flags(ts, flag_genres, prefix="g"),
+            [f"g{i}" for i in range(1, len(flag_genres) + 1)])
 
 
 def top_genres(spark, sf_dir, k: int = SIGNIFICANT_TOP_K) -> list[str]:
@@ -56,17 +82,27 @@ def top_genres(spark, sf_dir, k: int = SIGNIFICANT_TOP_K) -> list[str]:
     return [r["genre"] for r in rows]
 
 
+def _resolve_flags(spark, sf_dir, flags):
+    if flags is None:
+        return None
+    if flags == "top" or callable(flags):
+        return top_genres(spark, sf_dir)
+    return list(flags)
+
+
+def fit_and_score(spark, sf_dir, method: str, keys: list[str], lam: float, flags) -> DataFrame:
+    tr, ts, ks = stages.train_set(spark, sf_dir), stages.test_set(spark, sf_dir), list(keys)
+    genres = _resolve_flags(spark, sf_dir, flags)
+    if genres is not None:
+        tr, ts, flag_keys = _flag_frames(tr, ts, genres)
+        ks += flag_keys
+    model = fx.fit_effects(tr, ks, [lam], label=method)
+    return fx.score(model, ts).select(F.lit(method).alias("method"), "lam", "rmse", "n_test", "n_missing")
+
+
 def _model_query(method: str, keys: list[str], lam: float, flags=None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        if flags is None:
-            tr, ts, ks = stages.train_set(spark, sf_dir), stages.test_set(spark, sf_dir), list(keys)
-        else:
-            genres = flags(spark, sf_dir) if callable(flags) else list(flags)
-            tr, ts, flag_keys = _flag_model_frames(spark, sf_dir, genres)
-            ks = list(keys) + flag_keys
-        model = fx.fit_effects(tr, ks, [lam], label=method)
-        out = fx.score(model, ts).select(F.lit(method).alias("method"), "lam", "rmse", "n_test", "n_missing")
-        return rounded(out)
+        return rounded(fit_and_score(spark, sf_dir, method, keys, lam, flags))
     return run
 
 
@@ -79,12 +115,228 @@ MODELS: dict[str, tuple[list[str], float, object]] = {
     "model_genre_string_reg": (REVIEW_KEYS + ["genres"], LAMBDA_REVIEW, None),
     "model_horror_reg": (REVIEW_KEYS, LAMBDA_REVIEW, [HORROR_STAND_IN]),
     "model_action_reg": (REVIEW_KEYS, LAMBDA_REVIEW, [ACTION_STAND_IN]),
-    "model_genre_flags_reg": (REVIEW_KEYS, LAMBDA_REVIEW, top_genres),
+    "model_genre_flags_reg": (REVIEW_KEYS, LAMBDA_REVIEW, "top"),
+}
+
+# Leaderboard rows: (model, label, regularized, cv) in the reference's order.
+LEADERBOARD = [
+    ("model_movie_user", "movie + user", False, "train/test"),
+    ("model_release", "movie + user + release year", False, "train/test"),
+    ("model_release_reg", "movie + user + release year", True, "resampled lambda"),
+    ("model_review", "movie + user + release year + review year", False, "train/test"),
+    ("model_review_reg", "movie + user + release year + review year", True, "resampled lambda"),
+    ("model_genre_string_reg", "... + genre string", True, "resampled lambda"),
+    ("model_genre_flags_reg", "... + significant genre flags", True, "resampled lambda"),
+]
+
+
+# --------------------------------------------------------------------------- tuning
+
+def grid_frame(spark, sf_dir, name: str) -> DataFrame:
+    keys, (lo, hi, step), flags = GRIDS[name]
+
+    def build():
+        f, ks = stages.folds(spark, sf_dir), list(keys)
+        genres = _resolve_flags(spark, sf_dir, flags)
+        if genres is not None:
+            f = gx.with_genre_flags(f, genres, prefix="g")
+            ks += [f"g{i}" for i in range(1, len(genres) + 1)]
+        return tu.lambda_grid(f, ks, lambda_grid_values(lo, hi, step), label=name)
+    return stages.memo(spark, sf_dir, name, build)
+
+
+def _grid_query(name: str) -> Query:
+    def run(spark, sf_dir):
+        return rounded(grid_frame(spark, sf_dir, name))
+    return run
+
+
+def q_best_lambda(spark, sf_dir):
+    rows = [tu.best_lambda(grid_frame(spark, sf_dir, g)).select(F.lit(g).alias("grid"), "lam", "mean_rmse")
+            for g in GRIDS]
+    return rounded(rp.leaderboard(rows))
+
+
+def q_refit_best(spark, sf_dir):
+    """Refit the review-year model with the lambda its grid chose, score the test set."""
+    best = tu.best_lambda(grid_frame(spark, sf_dir, "lambda_grid_review")).first()
+    lam = float(best["lam"])
+    return rounded(fit_and_score(spark, sf_dir, "refit_best", REVIEW_KEYS, lam, None))
+
+
+# --------------------------------------------------------------------------- report
+
+def q_leaderboard(spark, sf_dir):
+    rows = []
+    for model, label, reg, cv in LEADERBOARD:
+        keys, lam, flags = MODELS[model]
+        scored = fit_and_score(spark, sf_dir, model, keys, lam, flags)
+        rows.append(rp.result_row(scored, label, reg, cv))
+    return rounded(rp.leaderboard(rows))
+
+
+# --------------------------------------------------------------------------- factorization
+
+def q_mf_tune(spark, sf_dir):
+    return rounded(mf.mf_tune(stages.train_set(spark, sf_dir), MF_TUNE_RANKS, MF_TUNE_REGS, MF_TUNE_ITER))
+
+
+def q_mf_rmse(spark, sf_dir):
+    model = mf.mf_fit(stages.train_set(spark, sf_dir), MF_RANK, MF_REG, MF_ITER)
+    return rounded(mf.mf_score(model, stages.test_set(spark, sf_dir)))
+
+
+def q_mf_validate(spark, sf_dir):
+    model = mf.mf_fit(stages.edx(spark, sf_dir), MF_RANK, MF_REG, MF_ITER)
+    return rounded(mf.mf_score(model, stages.validation(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------------- sources, features, genres
+
+def q_enrich_ratings(spark, sf_dir):
+    return rounded(fixture_ratings(spark, sf_dir).select(*BASE_COLUMNS))
+
+
+def q_release_year(spark, sf_dir):
+    return stages.edx(spark, sf_dir).select("userId", "movieId", "title", "release_year")
+
+
+def q_review_year(spark, sf_dir):
+    return stages.edx(spark, sf_dir).select("userId", "movieId", "timestamp", "review_year")
+
+
+def q_genre_explode(spark, sf_dir):
+    return gx.explode_genres(stages.train_set(spark, sf_dir)).select("userId", "movieId", "genre")
+
+
+def q_genre_pivot(spark, sf_dir):
+    tr = stages.train_set(spark, sf_dir)
+    names = gx.genre_universe(tr)
+    return gx.pivot_genres(tr, ["userId", "movieId"], names, rename={NO_GENRE_LABEL: NO_GENRE_COLUMN})
+
+
+def q_genre_flags(spark, sf_dir):
+    tr = stages.train_set(spark, sf_dir)
+    names = gx.genre_universe(tr)
+    wide = gx.with_genre_flags(tr.select(*WIDE_KEYS, "genres"), names).drop("genres")
+    return rounded(wide.withColumnRenamed(NO_GENRE_LABEL, NO_GENRE_COLUMN))
+
+
+def q_genre_counts(spark, sf_dir):
+    return gx.genre_counts(stages.train_set(spark, sf_dir))
+
+
+def q_significant_genres(spark, sf_dir):
+    return gx.significant_genres(stages.train_set(spark, sf_dir), SIGNIFICANT_MIN_SHARE)
+
+
+def q_genre_correlation(spark, sf_dir):
+    return rounded(gx.genre_correlation(stages.train_set(spark, sf_dir)))
+
+
+def q_flag_sums(spark, sf_dir):
+    tr = gx.with_genre_flags(stages.train_set(spark, sf_dir), [HORROR_STAND_IN, ACTION_STAND_IN], prefix="f")
+    return tr.agg(F.sum("f1").cast("bigint").alias("n_horror"), F.sum("f2").cast("bigint").alias("n_action"))
+
+
+# --------------------------------------------------------------------------- splits
+
+def q_stratified_split(spark, sf_dir):
+    r = stages.ratings(spark, sf_dir)
+    return sp.holdout_flags(sp.add_strata(r), stages.OUTER_P, sp.OUTER_SEED).select(
+        "userId", "movieId", "stratum", "is_test")
+
+
+def q_resamples(spark, sf_dir):
+    return stages.folds(spark, sf_dir).select("draw", "userId", "movieId", "is_test")
+
+
+def _basket_parts(spark, sf_dir):
+    raw = stages.raw_basket_split(spark, sf_dir)
+    temp = raw.where(F.col("is_test"))
+    kept = raw.where(~F.col("is_test"))
+    return temp, kept
+
+
+def q_known_keys_semi(spark, sf_dir):
+    temp, kept = _basket_parts(spark, sf_dir)
+    return sp.restrict_to_known(temp, kept).select("userId", "movieId")
+
+
+def q_holdout_removed_anti(spark, sf_dir):
+    temp, kept = _basket_parts(spark, sf_dir)
+    validation = sp.restrict_to_known(temp, kept)
+    return sp.holdout_removed(temp, validation).select("userId", "movieId")
+
+
+def q_holdout_repair(spark, sf_dir):
+    return stages.outer_split(spark, sf_dir, basket=True).select("userId", "movieId", "is_test")
+
+
+# --------------------------------------------------------------------------- explore
+
+def _edx_base(spark, sf_dir):
+    return stages.edx(spark, sf_dir).select(*BASE_COLUMNS)
+
+
+EXPLORE: dict[str, Query] = {
+    "profile_shape": lambda s, d: ex.profile_shape(_edx_base(s, d)),
+    "rating_mean": lambda s, d: rounded(ex.rating_mean(stages.edx(s, d))),
+    "rating_summary": lambda s, d: rounded(ex.rating_summary(stages.edx(s, d))),
+    "distinct_counts": lambda s, d: ex.distinct_counts(stages.edx(s, d)),
+    "distinct_genres": lambda s, d: ex.distinct_counts(stages.train_set(s, d), ("genres", "movieId")),
+    "active_users": lambda s, d: ex.count_by(stages.edx(s, d), ["userId"]),
+    "most_rated": lambda s, d: ex.count_by(stages.edx(s, d), ["movieId", "title"]),
+    "mean_by_movie": lambda s, d: rounded(ex.mean_by(stages.edx(s, d), "movieId")),
+    "mean_by_user": lambda s, d: rounded(ex.mean_by(stages.edx(s, d), "userId")),
+    "mean_by_release_year": lambda s, d: rounded(ex.mean_by(stages.train_set(s, d), "release_year")),
+    "mean_by_review_year": lambda s, d: rounded(ex.mean_by(stages.train_set(s, d), "review_year")),
+    "mean_by_genres": lambda s, d: rounded(ex.mean_by(stages.train_set(s, d), "genres")),
+    "mean_by_single_genre": lambda s, d: rounded(ex.mean_by(gx.explode_genres(stages.train_set(s, d)), "genre")),
+    "hist_user": lambda s, d: rounded(ex.histogram(stages.edx(s, d), "userId")),
+    "hist_movie": lambda s, d: rounded(ex.histogram(stages.edx(s, d), "movieId")),
+    "hist_release_year": lambda s, d: rounded(ex.histogram(stages.edx(s, d), "release_year")),
+    "hist_review_year": lambda s, d: rounded(ex.histogram(stages.edx(s, d), "review_year")),
+    "rating_bars": lambda s, d: rounded(ex.rating_bars(stages.edx(s, d))),
+    "hist_of_movie_means": lambda s, d: rounded(ex.histogram_of_means(stages.edx(s, d), "movieId")),
+    "hist_of_user_means": lambda s, d: rounded(ex.histogram_of_means(stages.edx(s, d), "userId")),
+    "hist_of_release_means": lambda s, d: rounded(ex.histogram_of_means(stages.train_set(s, d), "release_year")),
+    "hist_of_review_means": lambda s, d: rounded(ex.histogram_of_means(stages.train_set(s, d), "review_year")),
+    "hist_of_genre_means": lambda s, d: rounded(ex.histogram_of_means(stages.train_set(s, d), "genres")),
 }
 
 
 def queries() -> dict[str, Query]:
-    out: dict[str, Query] = {}
+    out: dict[str, Query] = {
+        "enrich_ratings": q_enrich_ratings,
+        "release_year": q_release_year,
+        "review_year": q_review_year,
+        "genre_explode": q_genre_explode,
+        "genre_pivot": q_genre_pivot,
+        "genre_flags": q_genre_flags,
+        "stratified_split": q_stratified_split,
+        "resamples": q_resamples,
+        "known_keys_semi": q_known_keys_semi,
+        "holdout_removed_anti": q_holdout_removed_anti,
+        "holdout_repair": q_holdout_repair,
+    }
+    out.update(EXPLORE)
+    out.update({
+        "genre_counts": q_genre_counts,
+        "significant_genres": q_significant_genres,
+        "genre_correlation": q_genre_correlation,
+        "flag_sums": q_flag_sums,
+    })
     for name, (keys, lam, flags) in MODELS.items():
         out[name] = _model_query(name, keys, lam, flags)
+    for name in GRIDS:
+        out[name] = _grid_query(name)
+    out.update({
+        "best_lambda": q_best_lambda,
+        "refit_best": q_refit_best,
+        "leaderboard": q_leaderboard,
+        "mf_tune": q_mf_tune,
+        "mf_rmse": q_mf_rmse,
+        "mf_validate": q_mf_validate,
+    })
     return out

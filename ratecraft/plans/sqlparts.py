@@ -64,14 +64,14 @@ def split_ctes(name: str, src: str, p: str, seed: str, return_removed: bool) ->
                  ORDER BY md5(concat_ws('|', '{seed}', userId, movieId)), userId, movieId) AS rn_,
        count(*) OVER (PARTITION BY stratum) AS n_
 FROM {name}_s"""
-    flagged = f"SELECT * EXCLUDE (rn_, n_, stratum), rn_ <= ceil(n_ * {p}) AS raw_test FROM {name}_r"
+    flagged = f"SELECT * EXCLUDE (rn_, n_), rn_ <= ceil(n_ * {p}) AS raw_test FROM {name}_r"
     known = f"""SELECT f.*, (f.movieId IN (SELECT movieId FROM {name}_f WHERE NOT raw_test)
         AND f.userId IN (SELECT userId FROM {name}_f WHERE NOT raw_test)) AS known_
 FROM {name}_f f"""
     if return_removed:
-        final = f"SELECT * EXCLUDE (raw_test, known_), raw_test AND known_ AS is_test FROM {name}_k"
+        final = f"SELECT * EXCLUDE (raw_test, known_, stratum), raw_test AND known_ AS is_test FROM {name}_k"
     else:
-        final = (f"SELECT * EXCLUDE (raw_test, known_), raw_test AS is_test FROM {name}_k "
+        final = (f"SELECT * EXCLUDE (raw_test, known_, stratum), raw_test AS is_test FROM {name}_k "
                  f"WHERE NOT raw_test OR known_")
     return [(f"{name}_q", q), (f"{name}_s", strata), (f"{name}_r", ranked),
             (f"{name}_f", flagged), (f"{name}_k", known), (name, final)]
@@ -118,7 +118,7 @@ def _eq(a: str, b: str, key: str) -> str:
 
 
 def effect_ctes(prefix: str, train: str, test: str, keys: list[str], lambdas: list[float],
-                group: list[str] | None = None) -> tuple[list[tuple[str, str]], str]:
+                group: list[str] | None = None, lam_sql: str | None = None) -> tuple[list[tuple[str, str]], str]:
     """Effect cascade with lambda as rows.  Returns (ctes, name of the score CTE
     with columns group..., lam, rmse, n_test, n_missing)."""
     group = list(group or [])
@@ -129,7 +129,7 @@ def effect_ctes(prefix: str, train: str, test: str, keys: list[str], lambdas: li
     def gjoin(a, b):
         return "".join(f" AND {a}.{g} = {b}.{g}" for g in group)
 
-    ctes = [(f"{prefix}_lam", f"SELECT unnest([{lam_list}]) AS lam"),
+    ctes = [(f"{prefix}_lam", lam_sql or f"SELECT unnest([{lam_list}]) AS lam"),
             (f"{prefix}_t", f"SELECT {g_sel}{keycols}, rating FROM {train}"),
             (f"{prefix}_mu", f"SELECT {g_sel}avg(rating) AS mu FROM {prefix}_t"
                              + (f" GROUP BY {', '.join(group)}" if group else ""))]

@@ -69,3 +69,22 @@ def train_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def test_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inner_split(spark, sf_dir).where(F.col("is_test")).drop("is_test")
+
+
+def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five stratified 20% resamples of the training set (``draw``, ``is_test``)."""
+    from ratecraft.operators.splits import resamples
+    return _cached(spark, sf_dir, "folds", lambda: stage(resamples(train_set(spark, sf_dir)), "folds"))
+
+
+def raw_basket_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """basket ratings with the raw 10% hold-out flag, before any repair."""
+    from ratecraft.operators.splits import add_strata, holdout_flags
+    return _cached(spark, sf_dir, "raw_basket", lambda: stage(
+        holdout_flags(add_strata(ratings(spark, sf_dir, basket=True)), OUTER_P, OUTER_SEED),
+        "raw_basket"))
+
+
+def memo(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Stage a small derived result once per session (e.g. a lambda grid)."""
+    return _cached(spark, sf_dir, name, lambda: stage(build(), name))
