@@ -91,13 +91,16 @@ def _resolve_flags(spark, sf_dir, flags):
 
 
 def fit_and_score(spark, sf_dir, method: str, keys: list[str], lam: float, flags) -> DataFrame:
-    tr, ts, ks = stages.train_set(spark, sf_dir), stages.test_set(spark, sf_dir), list(keys)
-    genres = _resolve_flags(spark, sf_dir, flags)
-    if genres is not None:
-        tr, ts, flag_keys = _flag_frames(tr, ts, genres)
-        ks += flag_keys
-    model = fx.fit_effects(tr, ks, [lam], label=method)
-    return fx.score(model, ts).select(F.lit(method).alias("method"), "lam", "rmse", "n_test", "n_missing")
+    """Fit on the training set, score the test set; one row, kept for the session."""
+    def build():
+        tr, ts, ks = stages.train_set(spark, sf_dir), stages.test_set(spark, sf_dir), list(keys)
+        genres = _resolve_flags(spark, sf_dir, flags)
+        if genres is not None:
+            tr, ts, flag_keys = _flag_frames(tr, ts, genres)
+            ks += flag_keys
+        model = fx.fit_effects(tr, ks, [lam], label=method)
+        return fx.score(model, ts).select(F.lit(method).alias("method"), "lam", "rmse", "n_test", "n_missing")
+    return stages.memo(spark, sf_dir, f"score-{method}-{lam!r}", build)
 
 
 def _model_query(method: str, keys: list[str], lam: float, flags=None) -> Query:
