@@ -54,9 +54,11 @@ def split_hash(seed: str | Column, *keys: str) -> Column:
     return F.md5(F.concat_ws("|", seed_col, *[F.col(k).cast("string") for k in keys]))
 
 
-def split_bucket(hash_col: str | Column, hex_digits: int = 5) -> Column:
-    """Leading hex digits of the hash as an int bucket (order preserving)."""
-    return F.conv(F.substring(_col(hash_col), 1, hex_digits), 16, 10).cast("int")
+def split_bucket(hash_col: str | Column, hex_digits) -> Column:
+    """Leading hex digits of the hash as a bucket number (order preserving).
+    ``hex_digits`` is an int or an int column (at most 8 digits)."""
+    n = hex_digits if isinstance(hex_digits, Column) else F.lit(hex_digits)
+    return F.conv(F.substr(_col(hash_col), F.lit(1), n), 16, 10).cast("bigint")
 
 
 def stratum_of(y: str | Column, edges: str | Column) -> Column:

@@ -7,25 +7,30 @@ rows are ordered by ``md5(seed|userId|movieId)`` then the keys, and the first
 ``ceil(n * p)`` rows are the hold-out.
 
 Scale: ranking a whole stratum would put a quarter of the table in one task.
-Instead the hash's leading 5 hex digits form 2^20 order-preserving buckets.
-Bucket counts (a partial+final aggregate, at most 2^20 rows per stratum) and a
-running sum give, per stratum, the one bucket where the cut falls and how many
-of its rows are still needed.  Rows below the cut bucket are hold-out, rows
-above are not, and only rows of the cut bucket (about n / 2^20 per stratum)
-are ranked.  Exact, and no full shuffle of the data.
+Instead the hash's leading hex digits form order-preserving buckets.  Bucket
+counts (a partial+final aggregate) and a running sum give, per stratum, the one
+bucket where the cut falls and how many of its rows are still needed.  Rows
+below the cut bucket are hold-out, rows above are not, and only rows of the cut
+bucket are ranked.  Exact, and no full shuffle of the data.  With b rows per
+bucket the count table has about n / b rows and the cut bucket about b, so the
+number of digits is chosen from the row count as round(log16(n) / 2), i.e.
+b ~ sqrt(n): 256 buckets at 6e5 rows, 2^20 at 1e12.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratecraft.functions.columns import exact_fraction, split_bucket, split_hash, stratum_of
+from ratecraft.session import stage
 
 ROW_KEYS = ("userId", "movieId")
 KNOWN_KEYS = ("movieId", "userId")
 QUANTILE_GROUPS = 5
-BUCKET_HEX_DIGITS = 5
+MAX_HEX_DIGITS = 8
 
 # Seeds for the three draws of the reference flow.
 OUTER_SEED = "0"
@@ -50,12 +55,20 @@ def add_strata(df: DataFrame, y: str = "rating", groups: int = QUANTILE_GROUPS)
               .drop("_edges"))
 
 
+def bucket_digits(n_rows: int) -> int:
+    """round(log16(rows) / 2) clamped to [1, 8]."""
+    return int(min(max(round(math.log(max(n_rows, 1), 16) / 2), 1), MAX_HEX_DIGITS))
+
+
 def holdout_flags(df: DataFrame, p: float, seed, keys=ROW_KEYS, by=("stratum",),
-                  flag: str = "is_test", hex_digits: int = BUCKET_HEX_DIGITS) -> DataFrame:
+                  flag: str = "is_test", hex_digits: int | None = None) -> DataFrame:
     """Flag exactly ``ceil(n * p)`` rows per group ``by`` as hold-out."""
     by = list(by)
+    # The row count is one cheap job (Parquet footers on staged input); a literal
+    # digit count keeps the bucket expression in generated code.
+    digits = bucket_digits(df.count()) if hex_digits is None else hex_digits
     x = (df.withColumn("_h", split_hash(seed, *keys))
-           .withColumn("_b", split_bucket("_h", hex_digits)))
+           .withColumn("_b", split_bucket("_h", digits)))
     counts = x.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"))
     running = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     cuts = (counts
@@ -118,7 +131,9 @@ def stratified_split(df: DataFrame, p: float, seed: str, return_removed: bool,
     the training side.  ``False`` (inner split): they are dropped.  Known keys
     are judged on the training side before rows are returned.
     """
-    flagged = holdout_flags(add_strata(df, y), p, seed, flag="_raw_test")
+    # The raw flags feed three consumers (rows, and the distinct train keys of
+    # each key column): staging them once avoids recomputing the sampler thrice.
+    flagged = stage(holdout_flags(add_strata(df, y), p, seed, flag="_raw_test"), f"holdout-{seed}")
     flagged = known_flag(flagged, ~F.col("_raw_test"))
     if not return_removed:
         flagged = flagged.where(~F.col("_raw_test") | F.col("is_known"))
@@ -134,6 +149,6 @@ def resamples(df: DataFrame, times: int = 5, p: float = 0.2, seed: str = RESAMPL
     rows with an unseen user or movie in their draw are dropped."""
     x = add_strata(df, y).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(times))))
     seed_col = F.concat_ws(".", F.lit(seed), F.col("draw").cast("string"))
-    x = holdout_flags(x, p, seed_col, by=("draw", "stratum"))
+    x = stage(holdout_flags(x, p, seed_col, by=("draw", "stratum")), f"resamples-{seed}")
     x = known_flag(x, ~F.col("is_test"), by=("draw",))
     return x.where(~F.col("is_test") | F.col("is_known")).drop("is_known", "stratum")

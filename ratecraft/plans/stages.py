@@ -71,10 +71,15 @@ def test_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inner_split(spark, sf_dir).where(F.col("is_test")).drop("is_test")
 
 
+FOLD_COLUMNS = ["userId", "movieId", "rating", "release_year", "review_year", "genres"]
+
+
 def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five stratified 20% resamples of the training set (``draw``, ``is_test``)."""
+    """Five stratified 20% resamples of the training set (``draw``, ``is_test``),
+    pruned to the columns the lambda searches use."""
     from ratecraft.operators.splits import resamples
-    return _cached(spark, sf_dir, "folds", lambda: stage(resamples(train_set(spark, sf_dir)), "folds"))
+    return _cached(spark, sf_dir, "folds", lambda: stage(
+        resamples(train_set(spark, sf_dir).select(*FOLD_COLUMNS)), "folds"))
 
 
 def raw_basket_split(spark: SparkSession, sf_dir: str) -> DataFrame:
