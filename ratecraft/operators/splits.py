@@ -78,12 +78,16 @@ def holdout_flags(df: DataFrame, p: float, seed, keys=ROW_KEYS, by=("stratum",),
             .where((F.col("_cum") - F.col("_c") < F.col("_t")) & (F.col("_cum") >= F.col("_t")))
             .select(*by, F.col("_b").alias("_cut"),
                     (F.col("_t") - (F.col("_cum") - F.col("_c"))).alias("_need")))
-    # One row per group (strata x draws): a bounded broadcast.
-    j = x.join(F.broadcast(cuts), by, "inner")
-    settled = (j.where(F.col("_b") != F.col("_cut"))
-                .withColumn(flag, F.col("_b") < F.col("_cut")))
+    # One row per group (strata x draws): a bounded broadcast.  Every group has
+    # its cut row, so a left join gives the inner join's rows without the
+    # inferred not-null filters that would evaluate the hash twice per row.
+    j = x.join(F.broadcast(cuts), by, "left")
+    # Null-safe equality (buckets are never NULL) keeps Catalyst from inferring
+    # not-null filters that would re-evaluate the hash below the projection.
+    at_cut = F.col("_b").eqNullSafe(F.col("_cut"))
+    settled = j.where(~at_cut).withColumn(flag, F.col("_b") < F.col("_cut"))
     in_cut = Window.partitionBy(*by).orderBy("_h", *keys)
-    edge = (j.where(F.col("_b") == F.col("_cut"))
+    edge = (j.where(at_cut)
              .withColumn(flag, F.row_number().over(in_cut) <= F.col("_need")))
     return settled.unionByName(edge).drop("_h", "_b", "_cut", "_need")
 
