@@ -52,6 +52,10 @@ GRIDS = {
 MF_TUNE_RANKS = [10, 20, 30]
 MF_TUNE_REGS = [0.1]
 MF_TUNE_ITER = 5
+MF_TUNE2_RANKS = [30]
+MF_TUNE2_REGS = [0.1, 0.2]
+MF_TUNE2_ITER = 20
+HEAD_ROWS = 6
 MF_RANK = 30
 MF_REG = 0.1
 MF_ITER = 20
@@ -184,6 +188,11 @@ def q_mf_tune(spark, sf_dir):
     return rounded(mf.mf_tune(stages.train_set(spark, sf_dir), MF_TUNE_RANKS, MF_TUNE_REGS, MF_TUNE_ITER))
 
 
+def q_mf_tune_reg(spark, sf_dir):
+    """Second tuning round: fixed rank, regularization grid, longer runs."""
+    return rounded(mf.mf_tune(stages.train_set(spark, sf_dir), MF_TUNE2_RANKS, MF_TUNE2_REGS, MF_TUNE2_ITER))
+
+
 def q_mf_rmse(spark, sf_dir):
     model = mf.mf_fit(stages.train_set(spark, sf_dir), MF_RANK, MF_REG, MF_ITER)
     return rounded(mf.mf_score(model, stages.test_set(spark, sf_dir)))
@@ -282,7 +291,13 @@ def _edx_base(spark, sf_dir):
     return stages.edx(spark, sf_dir).select(*BASE_COLUMNS)
 
 
+def q_edx_head(spark, sf_dir):
+    """First rows in an explicit order (the limit is the feature)."""
+    return rounded(_edx_base(spark, sf_dir).orderBy("userId", "movieId").limit(HEAD_ROWS))
+
+
 EXPLORE: dict[str, Query] = {
+    "edx_head": q_edx_head,
     "profile_shape": lambda s, d: ex.profile_shape(_edx_base(s, d)),
     "rating_mean": lambda s, d: rounded(ex.rating_mean(stages.edx(s, d))),
     "rating_summary": lambda s, d: rounded(ex.rating_summary(stages.edx(s, d))),
@@ -339,6 +354,7 @@ def queries() -> dict[str, Query]:
         "refit_best": q_refit_best,
         "leaderboard": q_leaderboard,
         "mf_tune": q_mf_tune,
+        "mf_tune_reg": q_mf_tune_reg,
         "mf_rmse": q_mf_rmse,
         "mf_validate": q_mf_validate,
     })

@@ -198,6 +198,8 @@ WHERE raw_test
         "holdout_removed_anti": with_ctes(basket, "SELECT userId, movieId FROM outer_split_k "
                                                   "WHERE raw_test AND NOT known_"),
         "holdout_repair": with_ctes(basket, "SELECT userId, movieId, is_test FROM outer_split"),
+        "edx_head": with_ctes(edx_flow, f'SELECT userId, movieId, rating, "timestamp", title, genres FROM edx '
+                                        f'ORDER BY userId, movieId LIMIT {cat.HEAD_ROWS}'),
         "profile_shape": with_ctes(edx_flow, "SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_cols FROM edx"),
         "rating_mean": with_ctes(edx_flow, f"SELECT {r6('avg(rating)')} AS mean_rating FROM edx"),
         "rating_summary": with_ctes(edx_flow, f"""SELECT {r6('min_r')} AS "min", {r6('q[1]')} AS q1,
