@@ -193,14 +193,34 @@ def q_mf_tune_reg(spark, sf_dir):
     return rounded(mf.mf_tune(stages.train_set(spark, sf_dir), MF_TUNE2_RANKS, MF_TUNE2_REGS, MF_TUNE2_ITER))
 
 
+def mf_scores(spark, sf_dir, final: bool) -> DataFrame:
+    """ALS error on the test set (trained on the training set) or, ``final``,
+    on the validation set (trained on all of edx); kept for the session."""
+    def build():
+        if final:
+            tr, ts = stages.edx(spark, sf_dir), stages.validation(spark, sf_dir)
+        else:
+            tr, ts = stages.train_set(spark, sf_dir), stages.test_set(spark, sf_dir)
+        return mf.mf_score(mf.mf_fit(tr, MF_RANK, MF_REG, MF_ITER), ts)
+    return stages.memo(spark, sf_dir, f"mf-{'validate' if final else 'test'}", build)
+
+
 def q_mf_rmse(spark, sf_dir):
-    model = mf.mf_fit(stages.train_set(spark, sf_dir), MF_RANK, MF_REG, MF_ITER)
-    return rounded(mf.mf_score(model, stages.test_set(spark, sf_dir)))
+    return rounded(mf_scores(spark, sf_dir, final=False))
 
 
 def q_mf_validate(spark, sf_dir):
-    model = mf.mf_fit(stages.edx(spark, sf_dir), MF_RANK, MF_REG, MF_ITER)
-    return rounded(mf.mf_score(model, stages.validation(spark, sf_dir)))
+    return rounded(mf_scores(spark, sf_dir, final=True))
+
+
+def q_leaderboard_full(spark, sf_dir):
+    """The whole results table: effect models, then factorization on the test
+    set and on the final validation set."""
+    rows = [q_leaderboard(spark, sf_dir),
+            rp.result_row(mf_scores(spark, sf_dir, final=False), "matrix factorization (ALS)", True, "cv tuned"),
+            rp.result_row(mf_scores(spark, sf_dir, final=True), "matrix factorization (ALS), validated",
+                          True, "final hold-out")]
+    return rounded(rp.leaderboard(rows))
 
 
 # --------------------------------------------------------------------------- sources, features, genres
@@ -353,6 +373,7 @@ def queries() -> dict[str, Query]:
         "best_lambda": q_best_lambda,
         "refit_best": q_refit_best,
         "leaderboard": q_leaderboard,
+        "leaderboard_full": q_leaderboard_full,
         "mf_tune": q_mf_tune,
         "mf_tune_reg": q_mf_tune_reg,
         "mf_rmse": q_mf_rmse,
