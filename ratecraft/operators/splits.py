@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratecraft.functions.columns import exact_fraction, split_bucket, split_hash, stratum_of
-from ratecraft.session import stage
+from ratecraft.session import local_if_small, stage
 
 ROW_KEYS = ("userId", "movieId")
 KNOWN_KEYS = ("movieId", "userId")
 QUANTILE_GROUPS = 5
+MAX_LOCAL_UNKNOWN = 1_000_000
 MAX_HEX_DIGITS = 8
 
 # Seeds for the three draws of the reference flow.
@@ -92,26 +93,6 @@ def holdout_flags(df: DataFrame, p: float, seed, keys=ROW_KEYS, by=("stratum",),
     return settled.unionByName(edge).drop("_h", "_b", "_cut", "_need")
 
 
-def known_flag(df: DataFrame, train_rows, keys=KNOWN_KEYS, by=(), flag: str = "is_known") -> DataFrame:
-    """Flag rows whose every key occurs among ``train_rows`` (a boolean column).
-
-    One left join per key against the distinct train keys (a partial aggregate
-    first, so hot keys collapse before the shuffle).
-    """
-    by = list(by)
-    out = df
-    parts = []
-    for k in keys:
-        seen = (df.where(train_rows).select(*by, k).distinct()
-                  .withColumn(f"_seen_{k}", F.lit(True)))
-        out = out.join(seen, [*by, k], "left")
-        parts.append(F.col(f"_seen_{k}").isNotNull())
-    cond = parts[0]
-    for c in parts[1:]:
-        cond = cond & c
-    return out.withColumn(flag, cond).drop(*[f"_seen_{k}" for k in keys])
-
-
 def restrict_to_known(test: DataFrame, train: DataFrame, keys=KNOWN_KEYS, by=()) -> DataFrame:
     """Keep test rows whose movie and user occur in train (two left semi joins)."""
     by = list(by)
@@ -126,6 +107,38 @@ def holdout_removed(temp: DataFrame, validation: DataFrame, keys=ROW_KEYS) -> Da
     return temp.join(validation.select(*keys), list(keys), "left_anti")
 
 
+def unknown_flag(flagged: DataFrame, test_col: str, keys=KNOWN_KEYS, by=(),
+                 flag: str = "_unknown") -> tuple[DataFrame, bool]:
+    """Flag rows whose movie or user has no training row (in its ``by`` group).
+
+    A key is unknown exactly when every one of its rows is hold-out, i.e.
+    ``min(is_test)`` per key, a partial aggregate in which hot keys collapse.
+    Those keys are few by nature (only keys with very few rows), so each set is
+    size-checked into a local relation and joined by broadcast, instead of
+    joining every row against all distinct training keys.  Returns the frame and
+    whether every set was small enough to stay local.
+    """
+    by = list(by)
+    out = flagged
+    all_local = True
+    marks = []
+    for k in keys:
+        unknown = (flagged.groupBy(*by, k).agg(F.min(F.col(test_col)).alias("_all_test"))
+                   .where(F.col("_all_test")).select(*by, k, F.lit(True).alias(f"_unk_{k}")))
+        local = local_if_small(unknown, MAX_LOCAL_UNKNOWN)
+        if local is None:
+            all_local = False
+            unknown = stage(unknown, f"unknown-{k}")
+        else:
+            unknown = F.broadcast(local)
+        out = out.join(unknown, [*by, k], "left")
+        marks.append(F.coalesce(F.col(f"_unk_{k}"), F.lit(False)))
+    cond = marks[0]
+    for m in marks[1:]:
+        cond = cond | m
+    return out.withColumn(flag, cond).drop(*[f"_unk_{k}" for k in keys]), all_local
+
+
 def stratified_split(df: DataFrame, p: float, seed: str, return_removed: bool,
                      y: str = "rating") -> DataFrame:
     """Add ``is_test``: a stratified ``p`` hold-out whose users and movies all
@@ -133,16 +146,17 @@ def stratified_split(df: DataFrame, p: float, seed: str, return_removed: bool,
 
     ``return_removed=True`` (outer split): unmatched hold-out rows go back to
     the training side.  ``False`` (inner split): they are dropped.  Known keys
-    are judged on the training side before rows are returned.
+    are judged on the training side before rows are returned.  The raw flags
+    are staged once; the result is that staged table plus two broadcast joins
+    with the (small) unknown-key sets, staged again only if those sets are large.
     """
-    # The raw flags feed three consumers (rows, and the distinct train keys of
-    # each key column): staging them once avoids recomputing the sampler thrice.
     flagged = stage(holdout_flags(add_strata(df, y), p, seed, flag="_raw_test"), f"holdout-{seed}")
-    flagged = known_flag(flagged, ~F.col("_raw_test"))
+    flagged, all_local = unknown_flag(flagged, "_raw_test")
     if not return_removed:
-        flagged = flagged.where(~F.col("_raw_test") | F.col("is_known"))
-    return (flagged.withColumn("is_test", F.col("_raw_test") & F.col("is_known"))
-            .drop("_raw_test", "is_known", "stratum"))
+        flagged = flagged.where(~F.col("_unknown"))
+    out = (flagged.withColumn("is_test", F.col("_raw_test") & ~F.col("_unknown"))
+           .drop("_raw_test", "_unknown", "stratum"))
+    return out if all_local else stage(out, f"split-{seed}")
 
 
 def resamples(df: DataFrame, times: int = 5, p: float = 0.2, seed: str = RESAMPLE_SEED,
@@ -150,9 +164,11 @@ def resamples(df: DataFrame, times: int = 5, p: float = 0.2, seed: str = RESAMPL
     """Repeated stratified hold-outs, all in one frame: every row once per draw
     with ``draw`` (1..times) and ``is_test``.  Strata are computed once (as one
     multi-draw partition call does); each draw has its own hash seed.  Test
-    rows with an unseen user or movie in their draw are dropped."""
+    rows with an unseen user or movie in their draw are dropped.  The exploded
+    frame is staged once (pruned to the caller's columns)."""
     x = add_strata(df, y).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(times))))
     seed_col = F.concat_ws(".", F.lit(seed), F.col("draw").cast("string"))
     x = stage(holdout_flags(x, p, seed_col, by=("draw", "stratum")), f"resamples-{seed}")
-    x = known_flag(x, ~F.col("is_test"), by=("draw",))
-    return x.where(~F.col("is_test") | F.col("is_known")).drop("is_known", "stratum")
+    x, all_local = unknown_flag(x, "is_test", by=("draw",))
+    out = x.where(~F.col("_unknown")).drop("_unknown", "stratum")
+    return out if all_local else stage(out, f"resamples-{seed}-repaired")

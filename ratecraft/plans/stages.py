@@ -3,10 +3,12 @@
 ratings --(10% stratified hold-out, repaired)--> edx / validation
 edx + years --(20% stratified hold-out, test restricted to known keys)--> train / test
 
-Each step is written as Parquet under the checkpoint folder (see
+Each step is written once as Parquet under the checkpoint folder (see
 ``ratecraft.session.stage``) and read back, so every later query scans a
 columnar file with pruning and pushdown instead of re-planning the joins and
-splits above it.  The memo is keyed by application id and input folder.
+splits above it (a split is its staged flag table plus broadcast joins with
+the small unknown-key sets).  The memo is keyed by application id and input
+folder.
 """
 
 from __future__ import annotations
@@ -45,8 +47,8 @@ def ratings(spark: SparkSession, sf_dir: str, basket: bool = False) -> DataFrame
 def outer_split(spark: SparkSession, sf_dir: str, basket: bool = False) -> DataFrame:
     """All rows with ``is_test`` = final validation row (after repair)."""
     name = "outer_basket" if basket else "outer"
-    return _cached(spark, sf_dir, name, lambda: stage(
-        stratified_split(ratings(spark, sf_dir, basket), OUTER_P, OUTER_SEED, return_removed=True), name))
+    return _cached(spark, sf_dir, name, lambda:
+                   stratified_split(ratings(spark, sf_dir, basket), OUTER_P, OUTER_SEED, return_removed=True))
 
 
 def edx(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,8 +61,8 @@ def validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def inner_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """edx rows with ``is_test``; unmatched test rows are dropped."""
-    return _cached(spark, sf_dir, "inner", lambda: stage(
-        stratified_split(edx(spark, sf_dir), INNER_P, INNER_SEED, return_removed=False), "inner"))
+    return _cached(spark, sf_dir, "inner", lambda:
+                   stratified_split(edx(spark, sf_dir), INNER_P, INNER_SEED, return_removed=False))
 
 
 def train_set(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,8 +80,7 @@ def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five stratified 20% resamples of the training set (``draw``, ``is_test``),
     pruned to the columns the lambda searches use."""
     from ratecraft.operators.splits import resamples
-    return _cached(spark, sf_dir, "folds", lambda: stage(
-        resamples(train_set(spark, sf_dir).select(*FOLD_COLUMNS)), "folds"))
+    return _cached(spark, sf_dir, "folds", lambda: resamples(train_set(spark, sf_dir).select(*FOLD_COLUMNS)))
 
 
 def raw_basket_split(spark: SparkSession, sf_dir: str) -> DataFrame:
