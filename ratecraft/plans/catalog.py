@@ -35,6 +35,9 @@ LAMBDA_RELEASE = 4.5
 LAMBDA_REVIEW = 5.0
 HORROR_STAND_IN = "T_PROMO"
 ACTION_STAND_IN = "bolt"
+# On the reference's own files (a folder with ratings.dat / movies.dat) the
+# stand-ins map back to the genres the reference names.
+TEXT_SOURCE_GENRES = {HORROR_STAND_IN: "Horror", ACTION_STAND_IN: "Action"}
 SIGNIFICANT_TOP_K = 8
 SIGNIFICANT_MIN_SHARE = 0.1
 BASE_COLUMNS = ["userId", "movieId", "rating", "timestamp", "title", "genres"]
@@ -89,9 +92,13 @@ def top_genres(spark, sf_dir, k: int = SIGNIFICANT_TOP_K) -> list[str]:
 def _resolve_flags(spark, sf_dir, flags):
     if flags is None:
         return None
-    if flags == "top" or callable(flags):
+    if flags == "top":
         return top_genres(spark, sf_dir)
-    return list(flags)
+    return [_genre_name(spark, sf_dir, g) for g in flags]
+
+
+def _genre_name(spark, sf_dir, g: str) -> str:
+    return TEXT_SOURCE_GENRES.get(g, g) if stages.is_text_source(spark, sf_dir) else g
 
 
 def fit_and_score(spark, sf_dir, method: str, keys: list[str], lam: float, flags) -> DataFrame:
@@ -267,7 +274,8 @@ def q_genre_correlation(spark, sf_dir):
 
 
 def q_flag_sums(spark, sf_dir):
-    tr = gx.with_genre_flags(stages.train_set(spark, sf_dir), [HORROR_STAND_IN, ACTION_STAND_IN], prefix="f")
+    names = [_genre_name(spark, sf_dir, g) for g in (HORROR_STAND_IN, ACTION_STAND_IN)]
+    tr = gx.with_genre_flags(stages.train_set(spark, sf_dir), names, prefix="f")
     return tr.agg(F.sum("f1").cast("bigint").alias("n_horror"), F.sum("f2").cast("bigint").alias("n_action"))
 
 

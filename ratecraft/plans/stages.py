@@ -13,6 +13,7 @@ folder.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,10 @@ from ratecraft.operators.features import with_years
 from ratecraft.operators.splits import INNER_SEED, OUTER_SEED, stratified_split
 from ratecraft.session import stage
 from ratecraft.sources.fixture import basket_ratings, fixture_ratings
+from ratecraft.sources.text import enrich_ratings, read_movies_dat, read_ratings_dat
+
+RATINGS_FILE = "ratings.dat"
+MOVIES_FILE = "movies.dat"
 
 OUTER_P = 0.1
 INNER_P = 0.2
@@ -38,7 +43,31 @@ def clear_memo() -> None:
     _memo.clear()
 
 
+def is_text_source(spark: SparkSession, folder: str) -> bool:
+    """True when ``folder`` holds ``ratings.dat`` and ``movies.dat`` (a file
+    listing, no job)."""
+    try:
+        spark.read.text(f"{folder.rstrip('/')}/{RATINGS_FILE}")
+        spark.read.text(f"{folder.rstrip('/')}/{MOVIES_FILE}")
+        return True
+    except AnalysisException:
+        return False
+
+
+def text_ratings(spark: SparkSession, folder: str) -> DataFrame:
+    """Ratings enriched with the movie catalog, from the two ``::`` files."""
+    base = folder.rstrip("/")
+    return enrich_ratings(read_ratings_dat(spark, f"{base}/{RATINGS_FILE}"),
+                          read_movies_dat(spark, f"{base}/{MOVIES_FILE}"))
+
+
 def ratings(spark: SparkSession, sf_dir: str, basket: bool = False) -> DataFrame:
+    """The featured ratings table.  A folder with ``ratings.dat`` and
+    ``movies.dat`` is read with the text readers (every query then runs on those
+    files; ``basket`` has no meaning there); otherwise the view is derived from
+    the TPC-H style tables."""
+    if is_text_source(spark, sf_dir):
+        return _cached(spark, sf_dir, "ratings", lambda: stage(with_years(text_ratings(spark, sf_dir)), "ratings"))
     name = "basket_ratings" if basket else "ratings"
     src = basket_ratings if basket else fixture_ratings
     return _cached(spark, sf_dir, name, lambda: stage(with_years(src(spark, sf_dir)), name))
