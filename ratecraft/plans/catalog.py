@@ -42,6 +42,7 @@ SIGNIFICANT_TOP_K = 8
 SIGNIFICANT_MIN_SHARE = 0.1
 BASE_COLUMNS = ["userId", "movieId", "rating", "timestamp", "title", "genres"]
 WIDE_KEYS = ["userId", "movieId", "rating", "title", "release_year", "review_year"]
+HEAD_ROWS = 6
 
 # Lambda grids of the reference's four searches: (lo, hi, step).
 GRIDS = {
@@ -58,7 +59,6 @@ MF_TUNE_ITER = 5
 MF_TUNE2_RANKS = [30]
 MF_TUNE2_REGS = [0.1, 0.2]
 MF_TUNE2_ITER = 20
-HEAD_ROWS = 6
 MF_RANK = 30
 MF_REG = 0.1
 MF_ITER = 20
