@@ -101,3 +101,14 @@ def test_resamples_properties(spark):
     t, k = f.where("is_test"), f.where("not is_test")
     for key in ("userId", "movieId"):
         assert t.join(k.select("draw", key).distinct(), ["draw", key], "left_anti").count() == 0
+
+
+def test_split_with_large_unknown_sets_is_staged_and_equal(spark, monkeypatch):
+    from ratecraft.operators import splits
+    from ratecraft.plans import stages
+    r = stages.ratings(spark, SF_SMALL, basket=True)
+    key = ["userId", "movieId", "is_test"]
+    a = sorted(map(tuple, splits.stratified_split(r, 0.1, "0", True).select(key).collect()))
+    monkeypatch.setattr(splits, "MAX_LOCAL_UNKNOWN", 0)
+    b = sorted(map(tuple, splits.stratified_split(r, 0.1, "0", True).select(key).collect()))
+    assert a == b and any(t[2] for t in a)
