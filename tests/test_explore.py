@@ -45,3 +45,22 @@ def test_histogram_of_means_reference_line(spark):
     out = histogram_of_means(df, "movieId", bins=2).collect()
     assert {r["ref_mean"] for r in out} == {3.0}
     assert sum(r["n"] for r in out) == 2
+
+
+def test_summary_approx_option_close_to_exact(spark):
+    from ratecraft.operators.explore import rating_summary
+    df = spark.range(10000).select(((F.col("id") % 10) * 0.5 + 0.5).alias("rating"))
+    exact = rating_summary(df).first()
+    approx = rating_summary(df, exact=False).first()
+    for c in ("min", "mean", "max"):
+        assert approx[c] == exact[c]
+    for c in ("q1", "median", "q3"):
+        assert abs(approx[c] - exact[c]) <= 0.5
+
+
+def test_rmse_columns_counts_missing(spark):
+    from ratecraft.functions import rmse_columns
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0), (None, 4.0)], "pred double, rating double")
+    err, missing = rmse_columns("pred")
+    r = df.agg(err.alias("rmse"), missing.alias("n_missing")).first()
+    assert r["rmse"] == pytest.approx((1 / 2) ** 0.5) and r["n_missing"] == 1
