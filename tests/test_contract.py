@@ -1,6 +1,7 @@
 """Driver contract: entry runs, names line up, a few queries match DuckDB at sf0.001."""
 
 import math
+import re
 
 import duckdb
 import pytest
@@ -21,7 +22,9 @@ def test_oracle_names_cover_queries():
     import __spark_entry__ as e
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"mf_tune", "mf_tune_reg", "mf_rmse", "mf_validate", "leaderboard_full"}
+    q = {x for x in q if x != "pipeline" and not re.match(r"op\d+_", x)}  # the optional corpus queries have tests of their own
+    o = set(o) & q
+    assert q - o == {"mf_tune", "mf_tune_reg", "mf_rmse", "mf_validate", "leaderboard_full"}
 
 
 def _norm(v):
