@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratecraft.llm.ann import op1_ann
 from ratecraft.llm.language_id import op10_language_id
+from ratecraft.llm.mixing import op4_mixing
+from ratecraft.llm.packing import op7_packing
 from ratecraft.llm.sharding import op6_sharding
 from ratecraft.llm.simhash import op8_simhash
 from ratecraft.llm.topk import op5_topk
@@ -16,8 +18,10 @@ from ratecraft.llm.topk import op5_topk
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ann": op1_ann,
+        "op4_mixing": op4_mixing,
         "op5_topk": op5_topk,
         "op6_sharding": op6_sharding,
+        "op7_packing": op7_packing,
         "op8_simhash": op8_simhash,
         "op10_language_id": op10_language_id,
     }
