@@ -41,6 +41,11 @@ def _share(text: Column, others: str) -> Column:
     return F.length(F.regexp_replace(text, others, "")) / F.greatest(F.length(text), F.lit(1))
 
 
+def _marked(words: Column, n: Column) -> Column:
+    """Share of the words that end in a sign other than those of a sentence."""
+    return F.size(F.filter(words, lambda w: w.rlike(r"[^\p{L}\p{N}.,;:'\"?()\-]$"))) / F.greatest(n, F.lit(1))
+
+
 def _band(value: Column, bad_from: float, good_to: float) -> Column:
     return F.when(value >= bad_from, BAD).when(value <= good_to, GOOD).otherwise(NONE)
 
@@ -55,7 +60,9 @@ def labellers(text: Column, words: Column) -> dict[str, Column]:
         "signs": _band(_share(text, r"[\p{L}\p{N}\s.,;:'\"?()\-]"), 0.06, 0.015),
         "capitals": _band(_share(text, r"[^\p{Lu}]"), 0.3, 0.08),
         "distinct": F.when(n < 30, NONE).when(distinct < 0.25, BAD).when(distinct > 0.35, GOOD).otherwise(NONE),
-        "stutter": F.when(text.rlike(r"(?:^|\s)(\S+)\s+\1\s+\1\s"), BAD).otherwise(NONE),
+        "stutter": F.when(text.rlike(r"(?:^|\s)(\S+)(?:\s+\1){4}(?:\s|$)"), BAD).otherwise(GOOD),
+        "sign runs": F.when(text.rlike(r"([^\p{L}\p{N}\s.\-=_])\1"), BAD).otherwise(GOOD),
+        "marked words": _band(_marked(words, n), 0.2, 0.05),
         "word length": F.when((mean < 2.5) | (mean > 14), BAD).when((mean > 3.5) & (mean < 10), GOOD).otherwise(NONE),
         "columns": _band(_share(text, r"[^|\t]"), 0.02, 0.0),
         "sentences": F.when(text.rlike(r"\p{Ll}[.?!](\s|$)"), GOOD).otherwise(BAD),
@@ -73,39 +80,33 @@ def with_votes(df: DataFrame, text: str = "text") -> DataFrame:
 @dataclass
 class LabelModel:
     prior: float
-    chance: np.ndarray  # (labellers, class, vote + 1): of each vote in each class
+    chance: np.ndarray  # (labellers, class): of a good vote, where there is a vote
     accuracy: np.ndarray  # of each labeller, where it votes
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        """P(good) for rows of votes."""
-        logs = np.log(self.chance)
-        column = np.arange(votes.shape[1])
-        good = math.log(self.prior) + logs[column, 1, votes + 1].sum(axis=1)
-        bad = math.log(1 - self.prior) + logs[column, 0, votes + 1].sum(axis=1)
+        """P(good) for rows of votes; a missing vote says nothing."""
+        good, bad = np.full(len(votes), math.log(self.prior)), np.full(len(votes), math.log(1 - self.prior))
+        for j, (in_bad, in_good) in enumerate(self.chance):
+            yes, no = votes[:, j] == GOOD, votes[:, j] == BAD
+            good += yes * math.log(in_good) + no * math.log(1 - in_good)
+            bad += yes * math.log(in_bad) + no * math.log(1 - in_bad)
         return 1 / (1 + np.exp(np.clip(bad - good, -500, 500)))
 
 
-def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 200, smoothing: float = 1.0) -> LabelModel:
+def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 500, smoothing: float = 1.0) -> LabelModel:
     """Expectation-maximisation over vote patterns, from the majority's view at the start."""
-    m = votes.shape[1]
     weight = counts.astype(np.float64)
     p = (1 + (votes == GOOD).sum(axis=1)) / (2 + (votes != NONE).sum(axis=1))
-    # a bad vote is the rarer and the stronger sign; from one on, the majority starts below half
+    # the heuristics look for different faults, of which a bad document has one or a few
     p = np.where((votes == BAD).any(axis=1), np.minimum(p, 0.4), p)
+    yes, no = votes == GOOD, votes == BAD
     model = None
     for _ in range(rounds):
         good, bad = weight * p, weight * (1 - p)
-        chance = np.empty((m, 2, 3))
-        for j in range(m):
-            for v in range(3):
-                at = votes[:, j] + 1 == v
-                chance[j, 1, v] = good[at].sum() + smoothing
-                chance[j, 0, v] = bad[at].sum() + smoothing
-        chance /= chance.sum(axis=2, keepdims=True)
+        chance = np.stack([(yes.T @ x + smoothing) / ((yes | no).T @ x + 2 * smoothing) for x in (bad, good)], axis=1)
         prior = float(np.clip(good.sum() / max(weight.sum(), 1e-9), 1e-6, 1 - 1e-6))
-        right = prior * chance[:, 1, 2] + (1 - prior) * chance[:, 0, 1]
-        wrong = prior * chance[:, 1, 1] + (1 - prior) * chance[:, 0, 2]
-        model = LabelModel(prior, chance, right / (right + wrong))
+        right = yes.T @ good + no.T @ bad
+        model = LabelModel(prior, chance, (right + smoothing) / ((yes | no).T @ weight + 2 * smoothing))
         new = model.posterior(votes)
         if np.abs(new - p).max(initial=0.0) < 1e-9:
             break
