@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratecraft.session import stage
 
-__all__ = ["stage", "table", "chunks", "utf8", "column_or_null", "offsets_by_partition"]
+__all__ = ["stage", "table", "chunks", "utf8", "offsets_by_partition", "release_shuffles"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,9 +34,15 @@ def chunks(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def column_or_null(df: DataFrame, name: str, kind: str):
-    """The column, or a typed null where the frame lacks it."""
-    return F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)
+def release_shuffles(spark: SparkSession) -> None:
+    """Ask the driver to let go of finished jobs now.
+
+    Spark removes shuffle files when the driver's handles on them are collected,
+    by default at the latest every 30 minutes; after a large written step the
+    room is better free before the next one.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def offsets_by_partition(rows: DataFrame, group: list[str], part: str, local: str) -> DataFrame:

@@ -14,8 +14,12 @@ the help of a small cover sample:
    bucket of one is done: its suffixes are tied to none.
 3. Long ties.  The units of a bucket whose whole text agrees are tied suffix by
    suffix, which settles nearly all repeats with one row a unit.
-4. The suffixes of what is left, one representative for each distinct unit of a
-   bucket that holds several, are compared by their first ``LENGTH`` bytes.
+4. Of what is left, one representative for each distinct unit of a bucket that
+   holds several, the suffixes are taken in blocks of ``BLOCK`` by their distance
+   to the sample.  The bytes that all suffixes of a block have in common are its
+   core; a block whose core no other unit has is tied to none, a block that is
+   the same in another unit is tied as a whole, and only the suffixes of the
+   rest are compared by their first ``LENGTH`` bytes, one row each.
 
 All of it is grouping and joining on 64-bit keys, with partial sums for hot
 strings; a string counts as equal when its sample string and its own hash both
@@ -32,10 +36,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import chunks, stage, table, utf8
+from ratecraft.llm.common import chunks, release_shuffles, stage, table, utf8
 
 LENGTH = 200
 ANCHOR = 64
+BLOCK = 16
 
 #: Bytes looked at together; longer texts go through in overlapping parts.
 _SPAN = 1 << 19
@@ -104,7 +109,7 @@ def _parts(texts: list[bytes], length: int) -> Iterator[tuple[bytes, np.ndarray,
 
 
 def _units_of(data: bytes, starts: np.ndarray, hasher: _Hasher, length: int, anchor: int):
-    """Units of a buffer: text number, first suffix, suffixes, hash at the sample, hash of the unit."""
+    """Units of a buffer: text number, first suffix, suffixes, hash at the sample, hash of the unit, distance to the sample."""
     raw = np.frombuffer(data, dtype=np.uint8)
     prefix = hasher.prefix(raw)
     at_anchor = hasher.all_of(prefix, anchor)
@@ -117,7 +122,7 @@ def _units_of(data: bytes, starts: np.ndarray, hasher: _Hasher, length: int, anc
     last = np.append(first[1:], len(sample)) - 1
     good = inside[first]
     first, last = first[good], last[good]
-    return text[first], first, last - first + 1, at_anchor[sample[first]], hasher.hashed(prefix, first, last + length)
+    return text[first], first, last - first + 1, at_anchor[sample[first]], hasher.hashed(prefix, first, last + length), sample[first] - first
 
 
 _hasher: list[_Hasher] = []
@@ -129,7 +134,7 @@ def _get_hasher() -> _Hasher:
     return _hasher[0]
 
 
-_UNITS = "a long, u long, h long, h2 long, s long, n int"
+_UNITS = "a long, u long, h long, h2 long, s long, n int, o int"
 
 
 def _units(length: int, anchor: int):
@@ -139,21 +144,22 @@ def _units(length: int, anchor: int):
             h, h2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             texts = [utf8(t) for t in batch.column(2).to_pylist()]
             for data, which, starts, base in _parts(texts, length):
-                text, first, many, a, u = _units_of(data, starts, hasher, length, anchor)
+                text, first, many, a, u, o = _units_of(data, starts, hasher, length, anchor)
                 if len(text):
                     own = which[text]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(a.view(np.int64)), pa.array(u.view(np.int64)), pa.array(h[own]), pa.array(h2[own]),
-                         pa.array(first - starts[text] + base[text]), pa.array(many.astype(np.int32))], names=["a", "u", "h", "h2", "s", "n"])
+                         pa.array(first - starts[text] + base[text]), pa.array(many.astype(np.int32)), pa.array(o.astype(np.int32))], names=["a", "u", "h", "h2", "s", "n", "o"])
 
     return run
 
 
-_SUFFIXES = "a long, w long, u long, h long, h2 long, s long, single boolean"
+_BLOCKS = "a long, b int, core long, whole long, u long, h long, h2 long, s long, single boolean, w array<long>"
 
 
-def _suffixes(length: int):
-    """The first ``length`` bytes, hashed, of every suffix of the units listed with each text."""
+def _blocks(length: int, block: int):
+    """The blocks of suffixes of the units listed with each text: the hash of the
+    block's core and of its whole text, and for each suffix that of its first ``length`` bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = _get_hasher()
@@ -169,13 +175,26 @@ def _suffixes(length: int):
                         part = part[len(near):]
                         prefix = hasher.prefix(np.frombuffer(raw[base: base + _SPAN], dtype=np.uint8))
                         many = np.array([x["n"] for x in near])
-                        start = np.repeat(np.array([x["s"] - base for x in near]) - np.cumsum(many) + many, many) + np.arange(many.sum())
-                        w = hasher.hashed(prefix, start, start + length)
-                        rep = lambda name, kind: pa.array(np.repeat(np.array([x[name] for x in near]), many).astype(kind))
-                        size = len(w)
+                        unit = np.repeat(np.arange(len(near)), many)
+                        start = np.array([x["s"] - base for x in near])
+                        sample = start + np.array([x["o"] for x in near])
+                        suffix = np.arange(many.sum()) + (start - np.cumsum(many) + many)[unit]
+                        place = (sample[unit] - suffix) // block
+                        change = np.concatenate(([True], (unit[1:] != unit[:-1]) | (place[1:] != place[:-1])))
+                        first = np.flatnonzero(change)
+                        last = np.append(first[1:], len(suffix)) - 1
+                        own, at = unit[first], place[first]
+                        edge = sample[own] - block * at  # the last suffix a block can have
+                        core = hasher.hashed(prefix, edge, edge - (block - 1) + length)
+                        whole = hasher.hashed(prefix, suffix[first], suffix[last] + length)
+                        w = hasher.hashed(prefix, suffix, suffix + length)
+                        of = lambda name, kind: pa.array(np.array([x[name] for x in near])[own].astype(kind))
+                        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(suffix)).astype(np.int32)), pa.array(w.view(np.int64)))
+                        size = len(first)
                         yield pa.RecordBatch.from_arrays(
-                            [rep("a", np.int64), pa.array(w.view(np.int64)), rep("u", np.int64), pa.array(np.full(size, row["h"])),
-                             pa.array(np.full(size, row["h2"])), pa.array(start + base), rep("single", bool)], names=["a", "w", "u", "h", "h2", "s", "single"])
+                            [of("a", np.int64), pa.array(at.astype(np.int32)), pa.array(core.view(np.int64)), pa.array(whole.view(np.int64)), of("u", np.int64),
+                             pa.array(np.full(size, row["h"])), pa.array(np.full(size, row["h2"])), pa.array(suffix[first] + base), of("single", bool), lists],
+                            names=["a", "b", "core", "whole", "u", "h", "h2", "s", "single", "w"])
 
     return run
 
@@ -192,27 +211,38 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
 
     The ranges cover all such strings; they may overlap and are in no order.
     """
-    if length < anchor or length - anchor > 250:
-        raise ValueError("the anchor must be at most the length, and no more than 250 bytes less")
+    if not BLOCK < anchor <= length:
+        raise ValueError(f"the anchor must be longer than {BLOCK} bytes, and no longer than the length")
+    spark = df.sparkSession
     keyed = _keyed(df, key, text)
     texts = keyed.where(F.octet_length("text") >= length)
     units = texts.select("h", "h2", "text").mapInArrow(_units(length, anchor), _UNITS)
     buckets = units.groupBy("a").agg(F.count(F.lit(1)).alias("m"), F.min("u").alias("lo"), F.max("u").alias("hi")).where("m > 1")
     buckets = stage(buckets.select(F.col("a").alias("a0"), (F.col("lo") != F.col("hi")).alias("mixed")), "repeat-buckets")
+    release_shuffles(spark)
     hits = stage(units.join(buckets, F.col("a") == F.col("a0")).drop("a0"), "repeat-units")
+    release_shuffles(spark)
     mixed = hits.where("mixed")
-    classes = mixed.groupBy("a", "u").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("h", "h2", "s", "n")).alias("first"))
+    classes = mixed.groupBy("a", "u").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("h", "h2", "s", "n", "o")).alias("first"))
     classes = stage(classes, "repeat-classes")
     tied = mixed.join(classes.where("m > 1").select("a", "u"), ["a", "u"], "left_semi")
     settled = hits.where("not mixed").unionByName(tied).select("h", "h2", "s", (F.col("s") + F.col("n") - 1 + length).alias("e"))
     listed = classes.select("a", "u", (F.col("m") == 1).alias("single"), "first.*").groupBy("h", "h2").agg(
-        F.collect_list(F.struct("a", "u", "s", "n", "single")).alias("units"))  # bounded by the text's length
+        F.collect_list(F.struct("a", "u", "s", "n", "o", "single")).alias("units"))  # bounded by the text's length
     holders = keyed.groupBy("h", "h2").agg(F.min("k").alias("k"))  # one row stands for all of a text
     asked = listed.join(holders, ["h", "h2"]).select(F.col("h").alias("h_"), F.col("h2").alias("h2_"), F.col("k").alias("k_"), "units")
     one_each = texts.join(asked, (F.col("h") == F.col("h_")) & (F.col("h2") == F.col("h2_")) & F.col("k").eqNullSafe(F.col("k_")))
-    suffixes = stage(one_each.select("h", "h2", "text", "units").mapInArrow(_suffixes(length), _SUFFIXES), "repeat-suffixes")
-    shared = suffixes.groupBy("a", "w").agg(F.min("u").alias("lo"), F.max("u").alias("hi")).where("lo != hi").select("a", "w")
-    found = suffixes.where("single").join(shared, ["a", "w"], "left_semi").select("h", "h2", "s", (F.col("s") + length).alias("e"))
+    blocks = stage(one_each.select("h", "h2", "text", "units").mapInArrow(_blocks(length, BLOCK), _BLOCKS), "repeat-blocks")
+    release_shuffles(spark)
+    cores = blocks.groupBy("a", "b", "core").agg(F.min("u").alias("lo"), F.max("u").alias("hi"), F.min("whole").alias("one"), F.max("whole").alias("other"))
+    cores = cores.where("lo != hi").select("a", "b", "core", (F.col("one") == F.col("other")).alias("equal"))
+    shared = stage(blocks.join(cores, ["a", "b", "core"]), "repeat-shared")
+    last = shared.where("single and equal").select("h", "h2", "s", (F.col("s") + F.size("w") - 1 + length).alias("e"))
+    suffixes = shared.where("not equal").select("a", "u", "h", "h2", "s", "single", F.posexplode("w").alias("i", "x"))
+    ties = suffixes.groupBy("a", "x").agg(F.min("u").alias("lo"), F.max("u").alias("hi")).where("lo != hi").select("a", "x")
+    found = suffixes.where("single").join(ties, ["a", "x"], "left_semi").select("h", "h2", (F.col("s") + F.col("i")).alias("s"), (F.col("s") + F.col("i") + length).alias("e"))
+    release_shuffles(spark)
+    found = found.unionByName(last)
     return settled.unionByName(found).groupBy("h", "h2").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
 

@@ -47,10 +47,10 @@ def test_batch_scores_equal_plain_features():
 
 def test_nulls_repeats_empty_and_extra_columns(spark, docs_of):
     clean = "This is a sentence of ordinary words that says a few things. It goes on for a while, and then it ends. " * 3
-    docs = docs_of([(i, clean + str(i)) for i in range(40)] + [(50, "%%% $$$ ### &&& " * 20), (51, None), (52, ""), (52, ""), (None, clean + "0")])
+    docs = docs_of([(i, clean + str(i)) for i in range(40)] + [(100 + i, "%%% $$$ ### &&& " * (i + 5)) for i in range(20)] + [(51, None), (52, ""), (52, ""), (None, clean + "0")])
     rows = q.classify(docs.withColumnRenamed("n_chars", "score").withColumn("votes", docs.lang)).collect()
-    assert len(rows) == 45 and {"text", "source", "score", "keep"} <= rows[0].asDict().keys()
+    assert len(rows) == 64 and {"text", "source", "score", "keep"} <= rows[0].asDict().keys()
     by = {r["doc_id"]: r for r in rows}
-    assert by[3]["keep"] and not by[50]["keep"]
+    assert by[3]["keep"] and not by[110]["keep"]
     assert by[None]["score"] == by[0]["score"]
     assert q.classify(docs.limit(0)).count() == 0

@@ -57,14 +57,14 @@ def test_small_alphabets_edits_and_long_texts_equal_brute_force(spark, docs_of,
         hasher = rp._Hasher()
         whole, pieces = set(), set()
         for data, which, starts, base in rp._parts(raws, 200):
-            text, first, many, a, u = rp._units_of(data, starts, hasher, 200, 64)
+            text, first, many, a, u, o = rp._units_of(data, starts, hasher, 200, 64)
             for t, f, m, x in zip(text, first, many, a):
                 for i in range(m):
                     pieces.add((int(which[t]), int(f - starts[t] + base[t]) + i, int(x)))
         rp._hasher.clear()
         for i, raw in enumerate(raws):
             for j in range(len(raw) - 199):
-                text, first, many, a, u = rp._units_of(raw[j: j + 200], __import__("numpy").array([0, 200]), hasher, 200, 64)
+                text, first, many, a, u, o = rp._units_of(raw[j: j + 200], __import__("numpy").array([0, 200]), hasher, 200, 64)
                 whole.add((i, j, int(a[0])))
         assert pieces == whole
         return
