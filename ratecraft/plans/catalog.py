@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,8 +160,11 @@ def grid_frame(spark, sf_dir, name: str) -> DataFrame:
 
 
 def _grid_query(name: str) -> Query:
+    """The errors per lambda, smallest first, NULL errors last (one row per grid value)."""
     def run(spark, sf_dir):
-        return rounded(grid_frame(spark, sf_dir, name))
+        order = Window.orderBy(F.asc_nulls_last("mean_rmse"), "lam")
+        grid = rounded(grid_frame(spark, sf_dir, name)).withColumn("error_rank", F.row_number().over(order))
+        return grid.orderBy("error_rank")
     return run
 
 

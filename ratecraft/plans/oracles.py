@@ -1,7 +1,8 @@
 """DuckDB oracle SQL per query name (same names and columns as the catalog).
 
-The oracle is the plain textbook form of each step; only the three matrix
-factorization queries have none (iterative, randomized trainer).
+The oracle is the plain textbook form of each step; only the four matrix
+factorization queries and the table that includes them have none (iterative,
+randomized trainer).
 """
 
 from __future__ import annotations
@@ -12,6 +13,12 @@ from ratecraft.plans.sqlparts import (
     NO_GENRE, effect_ctes, flow_ctes, r6, ratings_ctes, resample_ctes, split_ctes, with_ctes,
 )
 
+# The single genres of the fixture's catalog (a view needs its column names spelled out).
+FIXTURE_GENRES = [
+    "(no genres listed)", "T_ECONOMY", "T_LARGE", "T_MEDIUM", "T_PROMO", "T_SMALL", "T_STANDARD", "anvil", "blue", "bolt",
+    "cold", "gear", "gizmo", "hot", "large", "new", "old", "plate", "red", "ring", "rod", "small", "widget",
+]
+
 TOP_GENRES_CTE = ("top_genres", """SELECT genre, row_number() OVER (ORDER BY n DESC, genre ASC) AS rk
 FROM (SELECT g AS genre, count(*) AS n
       FROM (SELECT unnest(string_split(genres, '|')) AS g FROM train_set) GROUP BY g)""")
@@ -70,7 +77,8 @@ def _grid_ctes(prefix: str, name: str, base_ctes):
 
 def grid_sql(name: str) -> str:
     ctes, grid = _grid_ctes("q", name, flow_ctes() + resample_ctes())
-    return with_ctes(ctes, f"SELECT {r6('lam')} AS lam, {r6('mean_rmse')} AS mean_rmse FROM {grid}")
+    return with_ctes(ctes, f"SELECT {r6('lam')} AS lam, {r6('mean_rmse')} AS mean_rmse, CAST(row_number() OVER "
+                           f"(ORDER BY {r6('mean_rmse')} NULLS LAST, lam) AS INTEGER) AS error_rank FROM {grid} ORDER BY error_rank")
 
 
 def best_lambda_sql() -> str:
@@ -145,9 +153,10 @@ def _distinct(col: str) -> str:
 
 def _pivot(src: str, keys: list[str]) -> str:
     k = ", ".join(keys)
-    return (f"SELECT * FROM (PIVOT (SELECT {k}, CASE WHEN g = '{NO_GENRE}' THEN 'no_genre' ELSE g END AS g "
-            f"FROM (SELECT {k}, unnest(string_split(genres, '|')) AS g FROM {src})) "
-            f"ON g USING CAST(count(*) > 0 AS INTEGER) GROUP BY {k})")
+    flags = ", ".join(f"CAST(coalesce(max(CASE WHEN g = {_q(g)} THEN 1 ELSE 0 END), 0) AS INTEGER) "
+                      f"AS \"{'no_genre' if g == NO_GENRE else g}\"" for g in FIXTURE_GENRES)
+    return (f"SELECT {k}, {flags} FROM (SELECT {k}, unnest(coalesce(string_split(genres, '|'), [NULL])) AS g FROM {src}) "
+            f"GROUP BY {k}")
 
 
 CORRELATION = """SELECT a.genre AS genre_x, b.genre AS genre_y,

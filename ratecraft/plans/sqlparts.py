@@ -101,10 +101,10 @@ def resample_ctes(src: str = "train_set", times: int = 5, p: str = "0.2",
        count(*) OVER (PARTITION BY draw, stratum) AS n_
 FROM folds_s"""
     flagged = f"SELECT * EXCLUDE (rn_, n_, stratum), rn_ <= ceil(n_ * {p}) AS is_test FROM folds_r"
-    known = """SELECT f.* FROM folds_f f
-WHERE NOT f.is_test
-   OR (EXISTS (SELECT 1 FROM folds_f t WHERE NOT t.is_test AND t.draw = f.draw AND t.movieId = f.movieId)
-   AND EXISTS (SELECT 1 FROM folds_f t WHERE NOT t.is_test AND t.draw = f.draw AND t.userId = f.userId))"""
+    known = """SELECT * EXCLUDE (m_, u_) FROM (
+    SELECT *, bool_or(NOT is_test) OVER (PARTITION BY draw, movieId) AS m_,
+           bool_or(NOT is_test) OVER (PARTITION BY draw, userId) AS u_ FROM folds_f)
+WHERE NOT is_test OR (m_ AND u_)"""
     return [("folds_q", q), ("folds_s", strata), ("folds_r", ranked), ("folds_f", flagged), ("folds", known)]
 
 

@@ -10,6 +10,7 @@ column pruning and filter pushdown.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,7 +49,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder.
 
     Read from the session (``spark.checkpoint.dir`` or the context's directory).
-    Only when neither is set (local tests) a scratch folder is created.
+    Only a local session without either gets a scratch folder; elsewhere a
+    machine-local folder would lose rows, so that is an error.
     """
     sc = spark.sparkContext
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
@@ -58,6 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="ratecraft-ckpt-")
     sc.setCheckpointDir(scratch)
     spark.conf.set("spark.checkpoint.dir", scratch)
