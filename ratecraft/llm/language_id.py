@@ -35,7 +35,7 @@ UNDETERMINED = "und"
 #: A document of a lower score is rejected by ``accepted``.
 LEAST_SCORE = 0.5
 
-_BATCH_BYTES = 1 << 20
+_BATCH_BYTES = 1 << 18
 _TRAIN_PARTITIONS = 24
 
 
@@ -78,9 +78,9 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for lang, texts in pdf.groupby("lang")["text"]:
             total = counts.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
             docs[lang] = docs.get(lang, 0) + len(texts)
-            raw = [utf8(t).lower() for t in texts]
-            for a, b in chunks([len(t) for t in raw], _BATCH_BYTES):
-                data, _ = _packed(raw[a:b])
+            texts = texts.tolist()
+            for a, b in chunks([len(t) for t in texts], _BATCH_BYTES):
+                data, _ = _packed([utf8(t).lower() for t in texts[a:b]])
                 for n in GRAMS:
                     grams = _hashed(data, n)
                     total += np.bincount(grams[data[: len(grams)] != 0], minlength=BUCKETS)
@@ -128,10 +128,10 @@ def _score(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np
     at = [i for i, t in enumerate(texts) if _letters(t)]
     if not at or not model.languages:
         return lang, score
-    raw = [utf8(texts[i]).lower() for i in at]
-    for a, b in chunks([len(t) for t in raw], _BATCH_BYTES):
-        data, starts = _packed(raw[a:b])
-        lengths = np.array([len(t) for t in raw[a:b]])
+    for a, b in chunks([len(texts[i]) for i in at], _BATCH_BYTES):
+        raw = [utf8(texts[i]).lower() for i in at[a:b]]
+        data, starts = _packed(raw)
+        lengths = np.array([len(t) for t in raw])
         bounds = np.stack((starts, starts + lengths), axis=1).ravel()
         total = np.zeros((b - a, len(model.languages)))
         for n in GRAMS:
@@ -160,7 +160,7 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
     @F.pandas_udf("lang_pred string, score double")
     def predict(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in series:
-            lang, score = _score([None if t is None else t for t in s.tolist()], shared.value)
+            lang, score = _score(s.tolist(), shared.value)
             yield pd.DataFrame({"lang_pred": lang, "score": score})
 
     return (df.drop("lang_pred", "score").withColumn("_lid", predict(F.col(text)))

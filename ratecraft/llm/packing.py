@@ -82,15 +82,23 @@ def cut(n: int, most: int) -> list[tuple[int, int]]:
 _PIECES = "key long, piece int, start long, length int, ids binary, part int, nth long"
 
 
-def _tokenize(files: dict, most: int, end: int):
-    encoder: list[_Encoder] = []
+_encoders: dict[tuple, _Encoder] = {}
+
+
+def _encoder(files: dict) -> _Encoder:
+    """One encoder for each process and vocabulary: its tables are large."""
+    name = tuple(sorted(files.items(), key=str))
+    if name not in _encoders:
+        _encoders[name] = _Encoder(**files)
+    return _encoders[name]
 
+
+def _tokenize(files: dict, most: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
         seen = np.zeros(most + 1, dtype=np.int64)
-        if not encoder:
-            encoder.append(_Encoder(**files))
+        encoder = _encoder(files)
 
         def emit(rows: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*rows))
@@ -100,7 +108,7 @@ def _tokenize(files: dict, most: int, end: int):
         rows, size = [], 0
         for batch in batches:
             for key, text in zip(batch.column(0), batch.column(1)):
-                key, ids = key.as_py(), np.array(encoder[0](text.as_py() or "") + [end], dtype="<u4")
+                key, ids = key.as_py(), np.array(encoder(text.as_py() or "") + [end], dtype="<u4")
                 for piece, (start, length) in enumerate(cut(len(ids), most)):
                     rows.append((key, piece, start, length, ids[start: start + length].tobytes(), part, int(seen[length])))
                     seen[length] += 1

@@ -32,7 +32,7 @@ PARTS, EPOCHS, RATE = 6, 3, 0.5
 VOTE_SHARE = 0.25
 KEEP_FROM = 0.5
 
-_BATCH_BYTES = 1 << 20
+_BATCH_BYTES = 1 << 18
 GOOD, BAD, NONE = 1, 0, -1
 
 
