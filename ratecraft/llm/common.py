@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ratecraft.session import stage
 
-__all__ = ["stage", "table", "chunks", "utf8", "offsets_by_partition", "release_shuffles"]
+__all__ = ["stage", "table", "chunks", "utf8", "offsets_by_partition", "release_shuffles", "short_batches"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +34,18 @@ def chunks(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+#: Texts are long rows: so many of them go to a Python worker at a time, unless the session says otherwise.
+BATCH_ROWS = 512
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch length from its default, which would hold
+    tens of megabytes of texts, several times over, in each worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Ask the driver to let go of finished jobs now.
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import chunks, table, utf8
+from ratecraft.llm.common import chunks, short_batches, table, utf8
 
 #: Hash buckets of the n-grams.
 BUCKETS = 1 << 16
@@ -102,6 +102,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     Of a language with more than ``docs_per_language`` rows, those of the
     smallest key hashes are taken, so that about that many take part.
     """
+    short_batches(labelled.sparkSession)
     rows = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()}
     if len(sizes) > MAX_LANGUAGES:
@@ -155,6 +156,7 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
     under a model without languages give ``und`` with score 0.  Columns of
     ``df`` with a result's name are replaced; all others are kept.
     """
+    short_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import offsets_by_partition, stage, table
+from ratecraft.llm.common import offsets_by_partition, short_batches, stage, table
 
 SEQUENCE = 1024
 END = 2
@@ -127,6 +127,7 @@ def token_pieces(df: DataFrame, key: str = "doc_id", text: str = "text", most: i
     ``key, piece, start, length, ids`` (little-endian unsigned 32-bit), and
     ``part, nth``, the piece's number within its length and writing partition.
     """
+    short_batches(df.sparkSession)
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     return stage(rows.mapInArrow(_tokenize(files or public_vocabulary(), most, end), _PIECES), "pieces")
 

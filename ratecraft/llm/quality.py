@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import chunks, table, utf8
+from ratecraft.llm.common import chunks, short_batches, table, utf8
 
 BUCKETS = 1 << 16
 GRAMS = (2, 3)
@@ -212,6 +212,7 @@ def classify(df: DataFrame, key: str = "doc_id", text: str = "text", sample: int
     score alike.  An empty input gives an empty result.  Columns of ``df`` with
     a result's name are replaced, all others are kept.
     """
+    short_batches(df.sparkSession)
     voted = with_votes(df.drop("posterior", "score", "keep", "votes"), text)
     model = fit_labels(voted)
     if model is None:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import chunks, release_shuffles, stage, table, utf8
+from ratecraft.llm.common import chunks, release_shuffles, short_batches, stage, table, utf8
 
 LENGTH = 200
 ANCHOR = 64
@@ -214,6 +214,7 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     if not BLOCK < anchor <= length:
         raise ValueError(f"the anchor must be longer than {BLOCK} bytes, and no longer than the length")
     spark = df.sparkSession
+    short_batches(spark)
     keyed = _keyed(df, key, text)
     texts = keyed.where(F.octet_length("text") >= length)
     units = texts.select("h", "h2", "text").mapInArrow(_units(length, anchor), _UNITS)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import chunks, stage, table, utf8
+from ratecraft.llm.common import short_batches, stage, table, utf8
 from ratecraft.llm.components import components
 
 SHINGLE = 3
@@ -67,6 +67,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 def with_fingerprint(df: DataFrame, text: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """``df`` with ``fingerprint``, the 64 bits as a signed long."""
+    short_batches(df.sparkSession)
 
     @F.pandas_udf("long")
     def simhash(series: pd.Series) -> pd.Series:
