@@ -165,6 +165,7 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
             lang, score = _score(s.tolist(), shared.value)
             yield pd.DataFrame({"lang_pred": lang, "score": score})
 
+    predict = predict.asNondeterministic()  # else a filter on the prediction would score every text once more
     return (df.drop("lang_pred", "score").withColumn("_lid", predict(F.col(text)))
             .withColumn("lang_pred", F.col("_lid.lang_pred")).withColumn("score", F.col("_lid.score")).drop("_lid"))
 
