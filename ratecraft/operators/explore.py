@@ -19,6 +19,18 @@ def profile_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)).cast("bigint"))
 
 
+#: Spark type -> class of a column in a data frame.
+CLASSES = {"int": "integer", "bigint": "integer", "double": "numeric", "string": "character", "boolean": "logical"}
+
+
+def column_types(df: DataFrame) -> DataFrame:
+    """``(place, column_name, class, n_missing)`` for every column, like ``str``."""
+    missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    return missing.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("place"), F.lit(c).alias("column_name"), F.lit(CLASSES.get(t, t)).alias("class"),
+                 F.col(c).cast("bigint").alias("n_missing")) for i, (c, t) in enumerate(df.dtypes, start=1)])))
+
+
 def rating_mean(df: DataFrame, y: str = "rating") -> DataFrame:
     return df.agg(F.avg(y).alias("mean_rating"))
 

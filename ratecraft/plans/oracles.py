@@ -51,9 +51,9 @@ def _flagged(ctes, flags, tables: dict[str, str], keys: list[str]):
     return ctes, out, list(keys) + [f"g{i}" for i in range(1, n + 1)]
 
 
-def _model_ctes(prefix: str, keys, lam, flags, base_ctes):
+def _model_ctes(prefix: str, keys, lam, flags, base_ctes, lam_sql: str | None = None):
     ctes, t, ks = _flagged(base_ctes, flags, {f"{prefix}_tr": "train_set", f"{prefix}_ts": "test_set"}, keys)
-    eff, score = effect_ctes(prefix, t[f"{prefix}_tr"], t[f"{prefix}_ts"], ks, [lam])
+    eff, score = effect_ctes(prefix, t[f"{prefix}_tr"], t[f"{prefix}_ts"], ks, [lam], lam_sql=lam_sql)
     return ctes + eff, score
 
 
@@ -102,11 +102,15 @@ def refit_best_sql() -> str:
 
 
 def leaderboard_sql() -> str:
-    ctes = flow_ctes()
+    ctes = flow_ctes() + resample_ctes()
     selects = []
-    for i, (model, label, reg, cv) in enumerate(cat.LEADERBOARD):
+    for i, (model, label, reg, cv, name) in enumerate(cat.LEADERBOARD):
         keys, lam, flags = cat.MODELS[model]
-        ctes, score = _model_ctes(f"m{i}", keys, lam, flags, ctes)
+        best = None
+        if name is not None:
+            ctes, grid = _grid_ctes(f"q{i}", name, ctes)
+            best = f"SELECT lam FROM {grid} WHERE mean_rmse IS NOT NULL ORDER BY mean_rmse, lam LIMIT 1"
+        ctes, score = _model_ctes(f"m{i}", keys, lam, flags, ctes, best)
         selects.append(f"SELECT {_q(label)} AS method, '{'YES' if reg else 'NO'}' AS regularized, "
                        f"{_q(cv)} AS cv, {r6('rmse')} AS rmse FROM {score}")
     return with_ctes(ctes, "\nUNION ALL\n".join(selects))
@@ -184,6 +188,13 @@ def correlation_sql() -> str:
     return with_ctes(ctes, f"SELECT genre_x, genre_y, {r6('corr_')} AS corr FROM c_corr")
 
 
+def column_types_sql() -> str:
+    kinds = "WHEN 'INTEGER' THEN 'integer' WHEN 'BIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'numeric' WHEN 'VARCHAR' THEN 'character'"
+    return with_ctes(flow_ctes(inner=False), "\nUNION ALL\n".join(
+        f"SELECT CAST({i} AS INTEGER) AS place, '{c}' AS column_name, CASE max(typeof(\"{c}\")) {kinds} END AS class, "
+        f"CAST(count_if(\"{c}\" IS NULL) AS BIGINT) AS n_missing FROM edx" for i, c in enumerate(cat.BASE_COLUMNS, start=1)))
+
+
 def oracle_sql() -> dict[str, str]:
     edx_flow = flow_ctes(inner=False)
     full = flow_ctes()
@@ -210,6 +221,7 @@ WHERE raw_test
         "edx_head": with_ctes(edx_flow, f'SELECT userId, movieId, rating, "timestamp", title, genres FROM edx '
                                         f'ORDER BY userId, movieId LIMIT {cat.HEAD_ROWS}'),
         "profile_shape": with_ctes(edx_flow, "SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_cols FROM edx"),
+        "column_types": column_types_sql(),
         "rating_mean": with_ctes(edx_flow, f"SELECT {r6('avg(rating)')} AS mean_rating FROM edx"),
         "rating_summary": with_ctes(edx_flow, f"""SELECT {r6('min_r')} AS "min", {r6('q[1]')} AS q1,
        {r6('q[2]')} AS median, {r6('mean_')} AS mean, {r6('q[3]')} AS q3, {r6('max_r')} AS "max"
@@ -237,8 +249,8 @@ FROM (SELECT min(rating) AS min_r, max(rating) AS max_r, avg(rating) AS mean_,
         "hist_of_release_means": hist_means_sql("train_set", "release_year", False),
         "hist_of_review_means": hist_means_sql("train_set", "review_year", False),
         "hist_of_genre_means": hist_means_sql("train_set", "genres", False),
-        "genre_counts": with_ctes(full, "SELECT g AS genre, count(*) AS n FROM "
-                                        "(SELECT unnest(string_split(genres, '|')) AS g FROM train_set) GROUP BY g"),
+        "genre_counts": with_ctes(full, "SELECT g AS genre, count(*) AS n FROM (SELECT unnest(coalesce("
+                                        "string_split(genres, '|'), [NULL])) AS g FROM train_set) GROUP BY g"),
         "significant_genres": with_ctes(full, f"""SELECT genre, n FROM (
   SELECT g AS genre, count(*) AS n FROM (SELECT unnest(string_split(genres, '|')) AS g FROM train_set) GROUP BY g)
 WHERE n > (SELECT count(*) FROM train_set) * CAST({cat.SIGNIFICANT_MIN_SHARE!r} AS DOUBLE)"""),

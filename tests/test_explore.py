@@ -64,3 +64,11 @@ def test_rmse_columns_counts_missing(spark):
     err, missing = rmse_columns("pred")
     r = df.agg(err.alias("rmse"), missing.alias("n_missing")).first()
     assert r["rmse"] == pytest.approx((1 / 2) ** 0.5) and r["n_missing"] == 1
+
+
+def test_column_types(spark):
+    from ratecraft.operators.explore import column_types
+
+    df = spark.createDataFrame([(1, 0.5, "a"), (2, None, None)], "userId long, rating double, title string")
+    assert [tuple(r) for r in column_types(df).orderBy("place").collect()] == [
+        (1, "userId", "integer", 0), (2, "rating", "numeric", 1), (3, "title", "character", 1)]
