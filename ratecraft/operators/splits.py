@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratecraft.functions.columns import exact_fraction, split_bucket, split_hash, stratum_of
-from ratecraft.session import local_if_small, stage
+from ratecraft.session import stage
 
 ROW_KEYS = ("userId", "movieId")
 KNOWN_KEYS = ("movieId", "userId")
@@ -114,29 +114,28 @@ def unknown_flag(flagged: DataFrame, test_col: str, keys=KNOWN_KEYS, by=(),
     A key is unknown exactly when every one of its rows is hold-out, i.e.
     ``min(is_test)`` per key, a partial aggregate in which hot keys collapse.
     Those keys are few by nature (only keys with very few rows), so each set is
-    size-checked into a local relation and joined by broadcast, instead of
-    joining every row against all distinct training keys.  Returns the frame and
-    whether every set was small enough to stay local.
+    staged, counted and joined by broadcast if small, instead of joining every
+    row against all distinct training keys.  Returns the frame and whether every
+    set was small.
     """
     by = list(by)
     out = flagged
-    all_local = True
+    all_small = True
     marks = []
     for k in keys:
         unknown = (flagged.groupBy(*by, k).agg(F.min(F.col(test_col)).alias("_all_test"))
                    .where(F.col("_all_test")).select(*by, k, F.lit(True).alias(f"_unk_{k}")))
-        local = local_if_small(unknown, MAX_LOCAL_UNKNOWN)
-        if local is None:
-            all_local = False
-            unknown = stage(unknown, f"unknown-{k}")
+        unknown = stage(unknown, f"unknown-{k}")
+        if unknown.count() <= MAX_LOCAL_UNKNOWN:
+            unknown = F.broadcast(unknown)
         else:
-            unknown = F.broadcast(local)
+            all_small = False
         out = out.join(unknown, [*by, k], "left")
         marks.append(F.coalesce(F.col(f"_unk_{k}"), F.lit(False)))
     cond = marks[0]
     for m in marks[1:]:
         cond = cond | m
-    return out.withColumn(flag, cond).drop(*[f"_unk_{k}" for k in keys]), all_local
+    return out.withColumn(flag, cond).drop(*[f"_unk_{k}" for k in keys]), all_small
 
 
 def stratified_split(df: DataFrame, p: float, seed: str, return_removed: bool,
@@ -151,12 +150,12 @@ def stratified_split(df: DataFrame, p: float, seed: str, return_removed: bool,
     with the (small) unknown-key sets, staged again only if those sets are large.
     """
     flagged = stage(holdout_flags(add_strata(df, y), p, seed, flag="_raw_test"), f"holdout-{seed}")
-    flagged, all_local = unknown_flag(flagged, "_raw_test")
+    flagged, all_small = unknown_flag(flagged, "_raw_test")
     if not return_removed:
         flagged = flagged.where(~F.col("_unknown"))
     out = (flagged.withColumn("is_test", F.col("_raw_test") & ~F.col("_unknown"))
            .drop("_raw_test", "_unknown", "stratum"))
-    return out if all_local else stage(out, f"split-{seed}")
+    return out if all_small else stage(out, f"split-{seed}")
 
 
 def resamples(df: DataFrame, times: int = 5, p: float = 0.2, seed: str = RESAMPLE_SEED,
@@ -169,6 +168,6 @@ def resamples(df: DataFrame, times: int = 5, p: float = 0.2, seed: str = RESAMPL
     x = add_strata(df, y).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(times))))
     seed_col = F.concat_ws(".", F.lit(seed), F.col("draw").cast("string"))
     x = stage(holdout_flags(x, p, seed_col, by=("draw", "stratum")), f"resamples-{seed}")
-    x, all_local = unknown_flag(x, "is_test", by=("draw",))
+    x, all_small = unknown_flag(x, "is_test", by=("draw",))
     out = x.where(~F.col("_unknown")).drop("_unknown", "stratum")
-    return out if all_local else stage(out, f"resamples-{seed}-repaired")
+    return out if all_small else stage(out, f"resamples-{seed}-repaired")

@@ -38,7 +38,6 @@ ACTION_STAND_IN = "bolt"
 # On the reference's own files (a folder with ratings.dat / movies.dat) the
 # stand-ins map back to the genres the reference names.
 TEXT_SOURCE_GENRES = {HORROR_STAND_IN: "Horror", ACTION_STAND_IN: "Action"}
-SIGNIFICANT_TOP_K = 8
 SIGNIFICANT_MIN_SHARE = 0.1
 BASE_COLUMNS = ["userId", "movieId", "rating", "timestamp", "title", "genres"]
 WIDE_KEYS = ["userId", "movieId", "rating", "title", "release_year", "review_year"]
@@ -49,7 +48,15 @@ GRIDS = {
     "lambda_grid": (["movieId", "userId", "release_year"], (2.0, 10.0, 0.25), None),
     "lambda_grid_review": (REVIEW_KEYS, (4.0, 6.0, 0.25), None),
     "lambda_grid_genres": (REVIEW_KEYS + ["genres"], (4.5, 6.0, 0.25), None),
-    "lambda_grid_flags": (REVIEW_KEYS, (4.5, 5.75, 0.25), "top"),
+    "lambda_grid_flags": (REVIEW_KEYS, (4.5, 5.75, 0.25), "significant"),
+}
+
+# Refits of the searched models with the lambda that their own grid chose.
+REFITS = {
+    "refit_release": "lambda_grid",
+    "refit_best": "lambda_grid_review",
+    "refit_genre_string": "lambda_grid_genres",
+    "refit_genre_flags": "lambda_grid_flags",
 }
 
 # Factorization settings (ALS stands in for the reference's SGD trainer).
@@ -59,9 +66,6 @@ MF_TUNE_ITER = 5
 MF_TUNE2_RANKS = [30]
 MF_TUNE2_REGS = [0.1, 0.2]
 MF_TUNE2_ITER = 20
-MF_RANK = 30
-MF_REG = 0.1
-MF_ITER = 20
 
 
 def round6(c: Column) -> Column:
@@ -82,18 +86,17 @@ def _flag_frames(tr: DataFrame, ts: DataFrame, flag_genres: list[str]):
             [f"g{i}" for i in range(1, len(flag_genres) + 1)])
 
 
-def top_genres(spark, sf_dir, k: int = SIGNIFICANT_TOP_K) -> list[str]:
-    """The ``k`` most frequent single genres of the training rows (a bounded list)."""
-    rows = gx.genre_counts(stages.train_set(spark, sf_dir)).orderBy(
-        F.desc("n"), F.asc("genre")).limit(k).collect()
-    return [r["genre"] for r in rows]
+def significant_genre_list(spark, sf_dir) -> list[str]:
+    """Every single genre over the threshold on the training rows, most frequent first."""
+    return stages.keep(spark, sf_dir, "significant", lambda: gx.genre_names(
+        gx.significant_genres(stages.train_set(spark, sf_dir), SIGNIFICANT_MIN_SHARE)))
 
 
 def _resolve_flags(spark, sf_dir, flags):
     if flags is None:
         return None
-    if flags == "top":
-        return top_genres(spark, sf_dir)
+    if flags == "significant":
+        return significant_genre_list(spark, sf_dir)
     return [_genre_name(spark, sf_dir, g) for g in flags]
 
 
@@ -109,9 +112,10 @@ def fit_and_score(spark, sf_dir, method: str, keys: list[str], lam: float, flags
         if genres is not None:
             tr, ts, flag_keys = _flag_frames(tr, ts, genres)
             ks += flag_keys
-        model = fx.fit_effects(tr, ks, [lam], label=method)
-        return fx.score(model, ts).select(F.lit(method).alias("method"), "lam", "rmse", "n_test", "n_missing")
-    return stages.memo(spark, sf_dir, f"score-{method}-{lam!r}", build)
+        return fx.score(fx.fit_effects(tr, ks, [lam], label=method), ts)
+    flag_names = flags if isinstance(flags, str) else "+".join(flags or [])
+    scored = stages.memo(spark, sf_dir, f"score-{'-'.join(keys)}-{flag_names}-{lam!r}", build)
+    return scored.select(F.lit(method).alias("method"), "lam", "rmse", "n_test", "n_missing")
 
 
 def _model_query(method: str, keys: list[str], lam: float, flags=None) -> Query:
@@ -129,7 +133,7 @@ MODELS: dict[str, tuple[list[str], float, object]] = {
     "model_genre_string_reg": (REVIEW_KEYS + ["genres"], LAMBDA_REVIEW, None),
     "model_horror_reg": (REVIEW_KEYS, LAMBDA_REVIEW, [HORROR_STAND_IN]),
     "model_action_reg": (REVIEW_KEYS, LAMBDA_REVIEW, [ACTION_STAND_IN]),
-    "model_genre_flags_reg": (REVIEW_KEYS, LAMBDA_REVIEW, "top"),
+    "model_genre_flags_reg": (REVIEW_KEYS, LAMBDA_REVIEW, "significant"),
 }
 
 # Leaderboard rows in the reference's order: (model, label, regularized, cv, grid).  With a
@@ -179,10 +183,12 @@ def chosen_lambda(spark, sf_dir, grid: str) -> float:
     return float(tu.best_lambda(grid_frame(spark, sf_dir, grid)).first()["lam"])
 
 
-def q_refit_best(spark, sf_dir):
-    """Refit the review-year model with the lambda its grid chose, score the test set."""
-    lam = chosen_lambda(spark, sf_dir, "lambda_grid_review")
-    return rounded(fit_and_score(spark, sf_dir, "refit_best", REVIEW_KEYS, lam, None))
+def _refit_query(name: str, grid: str) -> Query:
+    """Refit a grid's model with the lambda the grid chose, score the test set."""
+    def run(spark, sf_dir):
+        keys, _, flags = GRIDS[grid]
+        return rounded(fit_and_score(spark, sf_dir, name, keys, chosen_lambda(spark, sf_dir, grid), flags))
+    return run
 
 
 # --------------------------------------------------------------------------- report
@@ -200,24 +206,33 @@ def q_leaderboard(spark, sf_dir):
 
 # --------------------------------------------------------------------------- factorization
 
+def _mf_round(spark, sf_dir, second: bool):
+    """Options with their five-fold errors, and the model of the best of them."""
+    ranks, regs, sweeps = ((MF_TUNE2_RANKS, MF_TUNE2_REGS, MF_TUNE2_ITER) if second
+                           else (MF_TUNE_RANKS, MF_TUNE_REGS, MF_TUNE_ITER))
+    return stages.keep(spark, sf_dir, f"mf-search-{int(second)}",
+                       lambda: mf.mf_search(stages.train_set(spark, sf_dir), ranks, regs, sweeps))
+
+
 def q_mf_tune(spark, sf_dir):
-    return rounded(mf.mf_tune(stages.train_set(spark, sf_dir), MF_TUNE_RANKS, MF_TUNE_REGS, MF_TUNE_ITER))
+    return rounded(_mf_round(spark, sf_dir, second=False)[0])
 
 
 def q_mf_tune_reg(spark, sf_dir):
     """Second tuning round: fixed rank, regularization grid, longer runs."""
-    return rounded(mf.mf_tune(stages.train_set(spark, sf_dir), MF_TUNE2_RANKS, MF_TUNE2_REGS, MF_TUNE2_ITER))
+    return rounded(_mf_round(spark, sf_dir, second=True)[0])
 
 
 def mf_scores(spark, sf_dir, final: bool) -> DataFrame:
-    """ALS error on the test set (trained on the training set) or, ``final``,
-    on the validation set (trained on all of edx); kept for the session."""
+    """Error of ALS with the options that the second tuning round chose, on the
+    test set (its model of all training rows) or, ``final``, on the validation
+    set (trained on all of edx); kept for the session."""
     def build():
-        if final:
-            tr, ts = stages.edx(spark, sf_dir), stages.validation(spark, sf_dir)
-        else:
-            tr, ts = stages.train_set(spark, sf_dir), stages.test_set(spark, sf_dir)
-        return mf.mf_score(mf.mf_fit(tr, MF_RANK, MF_REG, MF_ITER), ts)
+        tuned, model = _mf_round(spark, sf_dir, second=True)
+        if not final:
+            return mf.mf_score(model, stages.test_set(spark, sf_dir))
+        model = mf.mf_fit(stages.edx(spark, sf_dir), *mf.best_options(tuned), MF_TUNE2_ITER)
+        return mf.mf_score(model, stages.validation(spark, sf_dir))
     return stages.memo(spark, sf_dir, f"mf-{'validate' if final else 'test'}", build)
 
 
@@ -233,9 +248,9 @@ def q_leaderboard_full(spark, sf_dir):
     """The whole results table: effect models, then factorization on the test
     set and on the final validation set."""
     rows = [q_leaderboard(spark, sf_dir),
-            rp.result_row(mf_scores(spark, sf_dir, final=False), "matrix factorization (ALS)", True, "fixed settings"),
+            rp.result_row(mf_scores(spark, sf_dir, final=False), "matrix factorization (ALS)", True, "5-fold tuned"),
             rp.result_row(mf_scores(spark, sf_dir, final=True), "matrix factorization (ALS), validated",
-                          True, "final hold-out")]
+                          True, "5-fold tuned, final hold-out")]
     return rounded(rp.leaderboard(rows))
 
 
@@ -387,9 +402,10 @@ def queries() -> dict[str, Query]:
         out[name] = _model_query(name, keys, lam, flags)
     for name in GRIDS:
         out[name] = _grid_query(name)
+    for name, grid in REFITS.items():
+        out[name] = _refit_query(name, grid)
     out.update({
         "best_lambda": q_best_lambda,
-        "refit_best": q_refit_best,
         "leaderboard": q_leaderboard,
         "leaderboard_full": q_leaderboard_full,
         "mf_tune": q_mf_tune,

@@ -1,6 +1,6 @@
 """DuckDB oracle SQL per query name (same names and columns as the catalog).
 
-The oracle is the plain textbook form of each step; only the four matrix
+The oracle is the plain textbook form of each step; the four matrix
 factorization queries and the table that includes them have none (iterative,
 randomized trainer).
 """
@@ -19,36 +19,41 @@ FIXTURE_GENRES = [
     "cold", "gear", "gizmo", "hot", "large", "new", "old", "plate", "red", "ring", "rod", "small", "widget",
 ]
 
-TOP_GENRES_CTE = ("top_genres", """SELECT genre, row_number() OVER (ORDER BY n DESC, genre ASC) AS rk
+SIGNIFICANT_CTE = ("significant", f"""SELECT genre, row_number() OVER (ORDER BY n DESC, genre ASC) AS rk
 FROM (SELECT g AS genre, count(*) AS n
-      FROM (SELECT unnest(string_split(genres, '|')) AS g FROM train_set) GROUP BY g)""")
+      FROM (SELECT unnest(string_split(genres, '|')) AS g FROM train_set) GROUP BY g)
+WHERE n > (SELECT count(*) FROM train_set) * CAST({cat.SIGNIFICANT_MIN_SHARE!r} AS DOUBLE)""")
 
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _flag_exprs(genres, n: int) -> list[str]:
-    exprs = []
-    for i in range(1, n + 1):
-        g = _q(genres[i - 1]) if isinstance(genres, list) else f"(SELECT genre FROM top_genres WHERE rk = {i})"
-        exprs.append(f"CAST(coalesce(list_contains(string_split(genres, '|'), {g}), false) AS INTEGER) AS g{i}")
-    return exprs
+def _has(genre: str) -> str:
+    return f"CAST(coalesce(list_contains(string_split(genres, '|'), {genre}), false) AS INTEGER)"
 
 
 def _flagged(ctes, flags, tables: dict[str, str], keys: list[str]):
-    """Add flag columns g1..gn to the given tables; returns (ctes, renamed tables, keys)."""
+    """Add flag columns g1..gn to the given tables; returns (ctes, renamed tables, keys).
+
+    How many genres are significant follows from the data, so there is a flag
+    for every genre of the catalog; those past the last significant one are -1."""
     if flags is None:
         return ctes, tables, list(keys)
-    n = len(flags) if isinstance(flags, list) else cat.SIGNIFICANT_TOP_K
-    if not isinstance(flags, list) and not any(c[0] == "top_genres" for c in ctes):
-        ctes = ctes + [TOP_GENRES_CTE]
-    fl = ", ".join(_flag_exprs(flags, n))
+    if isinstance(flags, list):
+        exprs = [_has(_q(g)) for g in flags]
+    else:
+        if not any(c[0] == "significant" for c in ctes):
+            ctes = ctes + [SIGNIFICANT_CTE]
+        nth = [f"(SELECT genre FROM significant WHERE rk = {i})" for i in range(1, len(FIXTURE_GENRES) + 1)]
+        exprs = [f"CASE WHEN {g} IS NULL THEN -1 ELSE {_has(g)} END" for g in nth]
+    names = [f"g{i}" for i in range(1, len(exprs) + 1)]
+    fl = ", ".join(f"{e} AS {n}" for e, n in zip(exprs, names))
     out = {}
     for alias, src in tables.items():
         ctes = ctes + [(f"{alias}_flags", f"SELECT *, {fl} FROM {src}")]
         out[alias] = f"{alias}_flags"
-    return ctes, out, list(keys) + [f"g{i}" for i in range(1, n + 1)]
+    return ctes, out, list(keys) + names
 
 
 def _model_ctes(prefix: str, keys, lam, flags, base_ctes, lam_sql: str | None = None):
@@ -65,7 +70,7 @@ def model_sql(method: str, keys, lam, flags) -> str:
 
 def _grid_ctes(prefix: str, name: str, base_ctes):
     keys, (lo, hi, step), flags = cat.GRIDS[name]
-    ctes, t, ks = _flagged(base_ctes, None if flags is None else "top", {f"{prefix}_f": "folds"}, keys)
+    ctes, t, ks = _flagged(base_ctes, flags, {f"{prefix}_f": "folds"}, keys)
     src = t[f"{prefix}_f"]
     ctes = ctes + [(f"{prefix}_tr", f"SELECT * FROM {src} WHERE NOT is_test"),
                    (f"{prefix}_ts", f"SELECT * FROM {src} WHERE is_test")]
@@ -93,12 +98,16 @@ def best_lambda_sql() -> str:
     return with_ctes(ctes, "\nUNION ALL\n".join(selects))
 
 
-def refit_best_sql() -> str:
-    ctes, grid = _grid_ctes("q", "lambda_grid_review", flow_ctes() + resample_ctes())
-    best = f"SELECT lam FROM {grid} WHERE mean_rmse IS NOT NULL ORDER BY mean_rmse, lam LIMIT 1"
-    eff, score = effect_ctes("m", "train_set", "test_set", cat.REVIEW_KEYS, [0.0], lam_sql=best)
-    return with_ctes(ctes + eff, f"SELECT 'refit_best' AS method, {r6('lam')} AS lam, {r6('rmse')} AS rmse, "
-                                 f"n_test, n_missing FROM {score}")
+def _best(grid: str) -> str:
+    return f"SELECT lam FROM {grid} WHERE mean_rmse IS NOT NULL ORDER BY mean_rmse, lam LIMIT 1"
+
+
+def refit_sql(method: str, name: str) -> str:
+    keys, _, flags = cat.GRIDS[name]
+    ctes, grid = _grid_ctes("q", name, flow_ctes() + resample_ctes())
+    ctes, score = _model_ctes("m", keys, 0.0, flags, ctes, _best(grid))
+    return with_ctes(ctes, f"SELECT '{method}' AS method, {r6('lam')} AS lam, {r6('rmse')} AS rmse, "
+                           f"n_test, n_missing FROM {score}")
 
 
 def leaderboard_sql() -> str:
@@ -109,7 +118,7 @@ def leaderboard_sql() -> str:
         best = None
         if name is not None:
             ctes, grid = _grid_ctes(f"q{i}", name, ctes)
-            best = f"SELECT lam FROM {grid} WHERE mean_rmse IS NOT NULL ORDER BY mean_rmse, lam LIMIT 1"
+            best = _best(grid)
         ctes, score = _model_ctes(f"m{i}", keys, lam, flags, ctes, best)
         selects.append(f"SELECT {_q(label)} AS method, '{'YES' if reg else 'NO'}' AS regularized, "
                        f"{_q(cv)} AS cv, {r6('rmse')} AS rmse FROM {score}")
@@ -265,6 +274,7 @@ FROM train_set"""),
     for name in cat.GRIDS:
         out[name] = grid_sql(name)
     out["best_lambda"] = best_lambda_sql()
-    out["refit_best"] = refit_best_sql()
+    for name, grid in cat.REFITS.items():
+        out[name] = refit_sql(name, grid)
     out["leaderboard"] = leaderboard_sql()
     return out

@@ -8,6 +8,8 @@ as rows); the Spark side computes the same results with scale-oriented plans.
 
 from __future__ import annotations
 
+import re
+
 NO_GENRE = "(no genres listed)"
 
 
@@ -120,7 +122,8 @@ def _eq(a: str, b: str, key: str) -> str:
 def effect_ctes(prefix: str, train: str, test: str, keys: list[str], lambdas: list[float],
                 group: list[str] | None = None, lam_sql: str | None = None) -> tuple[list[tuple[str, str]], str]:
     """Effect cascade with lambda as rows.  Returns (ctes, name of the score CTE
-    with columns group..., lam, rmse, n_test, n_missing)."""
+    with columns group..., lam, rmse, n_test, n_missing).  A genre flag of -1
+    stands for no genre and has no effect; a key that is done leaves the rows."""
     group = list(group or [])
     g_sel = "".join(f"{g}, " for g in group)
     keycols = ", ".join(f'"{k}"' if not k.isidentifier() else k for k in dict.fromkeys(keys))
@@ -136,20 +139,26 @@ def effect_ctes(prefix: str, train: str, test: str, keys: list[str], lambdas: li
     mu_join = (f"JOIN {prefix}_mu m ON TRUE{gjoin('t', 'm')}")
     ctes.append((f"{prefix}_c0", f"SELECT t.*, l.lam, t.rating - m.mu AS r FROM {prefix}_t t {mu_join} "
                                  f"CROSS JOIN {prefix}_lam l"))
+    def done(k, i):
+        return "" if k in keys[i:] else f"EXCLUDE ({k}) "
+
     for i, k in enumerate(keys, start=1):
+        b = "sum(r) / (count(*) + lam)"
+        if re.fullmatch(r"g\d+", k):
+            b = f"CASE WHEN {k} = -1 THEN 0.0 ELSE {b} END"
         ctes.append((f"{prefix}_b{i}",
-                     f"SELECT {g_sel}lam, {k}, sum(r) / (count(*) + lam) AS b FROM {prefix}_c{i - 1} "
+                     f"SELECT {g_sel}lam, {k}, {b} AS b FROM {prefix}_c{i - 1} "
                      f"GROUP BY {g_sel}lam, {k}"))
         if i < len(keys):
             ctes.append((f"{prefix}_c{i}",
-                         f"SELECT c.* REPLACE (c.r - b.b AS r) FROM {prefix}_c{i - 1} c "
+                         f"SELECT c.* {done(k, i)}REPLACE (c.r - b.b AS r) FROM {prefix}_c{i - 1} c "
                          f"LEFT JOIN {prefix}_b{i} b ON c.lam = b.lam{gjoin('c', 'b')} AND {_eq('c', 'b', k)}"))
     ctes.append((f"{prefix}_p0",
                  f"SELECT s.*, l.lam, m.mu AS p FROM (SELECT {g_sel}{keycols}, rating FROM {test}) s "
                  f"JOIN {prefix}_mu m ON TRUE{gjoin('s', 'm')} CROSS JOIN {prefix}_lam l"))
     for i, k in enumerate(keys, start=1):
         ctes.append((f"{prefix}_p{i}",
-                     f"SELECT c.* REPLACE (c.p + b.b AS p) FROM {prefix}_p{i - 1} c "
+                     f"SELECT c.* {done(k, i)}REPLACE (c.p + b.b AS p) FROM {prefix}_p{i - 1} c "
                      f"LEFT JOIN {prefix}_b{i} b ON c.lam = b.lam{gjoin('c', 'b')} AND {_eq('c', 'b', k)}"))
     last = f"{prefix}_p{len(keys)}"
     ctes.append((f"{prefix}_score",

@@ -29,10 +29,10 @@ MOVIES_FILE = "movies.dat"
 OUTER_P = 0.1
 INNER_P = 0.2
 
-_memo: dict[tuple, DataFrame] = {}
+_memo: dict[tuple, object] = {}
 
 
-def _cached(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def _cached(spark: SparkSession, sf_dir: str, name: str, build):
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     if key not in _memo:
         _memo[key] = build()
@@ -123,3 +123,8 @@ def raw_basket_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def memo(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """Stage a small derived result once per session (e.g. a lambda grid)."""
     return _cached(spark, sf_dir, name, lambda: stage(build(), name))
+
+
+def keep(spark: SparkSession, sf_dir: str, name: str, build):
+    """Any result (e.g. a fitted model), built once per session."""
+    return _cached(spark, sf_dir, name, build)

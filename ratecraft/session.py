@@ -82,12 +82,3 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{root}/{_STAGE_SUBDIR}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def local_if_small(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """``df`` as a local relation when a bounded read proves it has at most
-    ``max_rows`` rows (broadcasting it then needs no job), else None."""
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(table, schema=df.schema)
