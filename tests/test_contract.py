@@ -6,7 +6,7 @@ import re
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem".split()
 

@@ -48,7 +48,7 @@ def test_enrich_is_left_join(spark):
 
 
 def test_fixture_ratings_shape(spark):
-    from conftest import SF_SMALL
+    from testdata_paths import SF_SMALL
     from ratecraft.sources import fixture_ratings
     df = fixture_ratings(spark, SF_SMALL)
     assert [c for c, _ in df.dtypes] == ["movieId", "userId", "rating", "timestamp", "title", "genres"]

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 
 
 @pytest.fixture(scope="module")

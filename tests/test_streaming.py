@@ -4,7 +4,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 
 
 def test_stream_scoring_matches_batch(spark):
