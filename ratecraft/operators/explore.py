@@ -7,9 +7,11 @@ subqueries, computed once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratecraft.operators.quantiles import exact_quantiles
+
 HIST_BINS = 30
 SUMMARY_PROBS = [0.25, 0.5, 0.75]
 
@@ -37,8 +39,9 @@ def rating_mean(df: DataFrame, y: str = "rating") -> DataFrame:
 
 def rating_summary(df: DataFrame, y: str = "rating", exact: bool = True) -> DataFrame:
     """min, Q1, median, mean, Q3, max.  Exact quantiles interpolate like R's
-    default; ``exact=False`` uses ``percentile_approx`` for very large inputs."""
-    q = (F.percentile(y, SUMMARY_PROBS) if exact
+    default and come from rank refinement (``quantiles``), whatever the number of
+    distinct values; ``exact=False`` uses ``percentile_approx`` in one pass."""
+    q = (F.array(*[F.lit(v).cast("double") for v in exact_quantiles(df, y, SUMMARY_PROBS)]) if exact
          else F.percentile_approx(y, SUMMARY_PROBS, 10000).cast("array<double>"))
     return (df.agg(F.min(y).alias("min"), q.alias("_q"), F.avg(y).alias("mean"), F.max(y).alias("max"))
               .select(F.col("min").cast("double").alias("min"), F.col("_q")[0].alias("q1"),
@@ -60,6 +63,23 @@ def count_by(df: DataFrame, keys: list[str]) -> DataFrame:
               .orderBy(F.desc("n"), *[F.asc(k) for k in keys]))
 
 
+def top_by_count(df: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """The ``k`` most frequent keys with ``n`` and ``place`` from 1, ties by key.
+
+    Each task keeps its k best (TakeOrderedAndProject); no sort of all keys.  The
+    place is given to those k rows alone.
+    """
+    order = [F.desc("n"), *[F.asc(c) for c in keys]]
+    best = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).orderBy(*order).limit(k)
+    return best.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+
+
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """``(column_name, p, value)``: exact quantiles of numeric columns, by rank refinement."""
+    rows = [(c, float(p), v) for c in cols for p, v in zip(probs, exact_quantiles(df, c, probs))]
+    return df.sparkSession.createDataFrame(rows, "column_name string, p double, value double")
+
+
 def mean_by(df: DataFrame, key: str, y: str = "rating") -> DataFrame:
     return df.groupBy(key).agg(F.avg(y).alias("mean_rating"), F.count(F.lit(1)).alias("n"))
 

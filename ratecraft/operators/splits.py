@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratecraft.functions.columns import exact_fraction, split_bucket, split_hash, stratum_of
+from ratecraft.operators.quantiles import exact_quantiles
 from ratecraft.session import stage
 
 ROW_KEYS = ("userId", "movieId")
@@ -46,12 +47,11 @@ def quantile_probs(groups: int = QUANTILE_GROUPS) -> list[float]:
 def add_strata(df: DataFrame, y: str = "rating", groups: int = QUANTILE_GROUPS) -> DataFrame:
     """Add ``stratum`` (int) from exact quantiles of ``y``.
 
-    ``percentile`` is exact and keeps a value->count map per partition, so its
-    memory follows the number of distinct ratings (10 on a half-star scale), not
-    the number of rows.  The edges enter the row plan as a scalar subquery.
+    The edges come from rank refinement (``quantiles``): no task holds more than
+    its bins, however many distinct values ``y`` has.
     """
-    edges = df.select(F.percentile(F.col(y), quantile_probs(groups))).scalar()
-    return (df.withColumn("_edges", edges)
+    edges = exact_quantiles(df, y, quantile_probs(groups))
+    return (df.withColumn("_edges", F.array(*[F.lit(e).cast("double") for e in edges]))
               .withColumn("stratum", stratum_of(y, "_edges"))
               .drop("_edges"))
 
@@ -61,6 +61,19 @@ def bucket_digits(n_rows: int) -> int:
     return int(min(max(round(math.log(max(n_rows, 1), 16) / 2), 1), MAX_HEX_DIGITS))
 
 
+def _cut_buckets(counts: DataFrame, p: float, by: list[str]) -> DataFrame:
+    """``(by..., _cut, _need)``: from rows per bucket, the bucket in which the first
+    ``ceil(n * p)`` rows of a group end, and how many of its rows are among them."""
+    running = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    return (counts
+            .withColumn("_cum", F.sum("_c").over(running))
+            .withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
+            .withColumn("_t", F.ceil(F.col("_n") * exact_fraction(p)).cast("bigint"))
+            .where((F.col("_cum") - F.col("_c") < F.col("_t")) & (F.col("_cum") >= F.col("_t")))
+            .select(*by, F.col("_b").alias("_cut"),
+                    (F.col("_t") - (F.col("_cum") - F.col("_c"))).alias("_need")))
+
+
 def holdout_flags(df: DataFrame, p: float, seed, keys=ROW_KEYS, by=("stratum",),
                   flag: str = "is_test", hex_digits: int | None = None) -> DataFrame:
     """Flag exactly ``ceil(n * p)`` rows per group ``by`` as hold-out."""
@@ -71,14 +84,7 @@ def holdout_flags(df: DataFrame, p: float, seed, keys=ROW_KEYS, by=("stratum",),
     x = (df.withColumn("_h", split_hash(seed, *keys))
            .withColumn("_b", split_bucket("_h", digits)))
     counts = x.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    running = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    cuts = (counts
-            .withColumn("_cum", F.sum("_c").over(running))
-            .withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
-            .withColumn("_t", F.ceil(F.col("_n") * exact_fraction(p)).cast("bigint"))
-            .where((F.col("_cum") - F.col("_c") < F.col("_t")) & (F.col("_cum") >= F.col("_t")))
-            .select(*by, F.col("_b").alias("_cut"),
-                    (F.col("_t") - (F.col("_cum") - F.col("_c"))).alias("_need")))
+    cuts = _cut_buckets(counts, p, by)
     # One row per group (strata x draws): a bounded broadcast.  Every group has
     # its cut row, so a left join gives the inner join's rows without the
     # inferred not-null filters that would evaluate the hash twice per row.
@@ -87,7 +93,8 @@ def holdout_flags(df: DataFrame, p: float, seed, keys=ROW_KEYS, by=("stratum",),
     # not-null filters that would re-evaluate the hash below the projection.
     at_cut = F.col("_b").eqNullSafe(F.col("_cut"))
     settled = j.where(~at_cut).withColumn(flag, F.col("_b") < F.col("_cut"))
-    in_cut = Window.partitionBy(*by).orderBy("_h", *keys)
+    # Repeated row keys are told apart by the other columns; rows equal in all are interchangeable.
+    in_cut = Window.partitionBy(*by).orderBy("_h", *keys, *[c for c in df.columns if c not in keys and c not in by])
     edge = (j.where(at_cut)
              .withColumn(flag, F.row_number().over(in_cut) <= F.col("_need")))
     return settled.unionByName(edge).drop("_h", "_b", "_cut", "_need")
@@ -158,16 +165,75 @@ def stratified_split(df: DataFrame, p: float, seed: str, return_removed: bool,
     return out if all_small else stage(out, f"split-{seed}")
 
 
+def resample_masks(df: DataFrame, times: int = 5, p: float = 0.2, seed: str = RESAMPLE_SEED,
+                   y: str = "rating", keys=ROW_KEYS) -> DataFrame:
+    """Repeated stratified hold-outs of the same rows: ``df`` with ``test_mask`` and
+    ``drop_mask``, in which bit ``draw - 1`` stands for a draw.
+
+    No row is copied.  One aggregate counts every draw's hash buckets; the cut
+    buckets (one for each draw and stratum) come back as literals.  Rows of no
+    cut bucket are settled by comparison, the few others are ranked, ties by all
+    columns.  A dropped row is a test row whose user or movie has no training
+    row in that draw: a key whose rows' masks have the bit in common.
+    """
+    own = df.columns
+    x = add_strata(df, y)
+    digits = bucket_digits(df.count())
+    x = x.withColumns({f"_h{d}": split_hash(f"{seed}.{d + 1}", *keys) for d in range(times)})
+    x = x.withColumns({f"_b{d}": split_bucket(f"_h{d}", digits) for d in range(times)})
+    counts = (x.select("stratum", F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.col(f"_b{d}").alias("b")) for d in range(times)])).alias("s"))
+              .groupBy("stratum", F.col("s.d").alias("_d"), F.col("s.b").alias("_b")).agg(F.count(F.lit(1)).alias("_c")))
+    cuts = _cut_buckets(counts, p, ["stratum", "_d"]).collect()  # one row for each draw and stratum
+
+    def by_stratum(d: int, value: str):
+        found = [(r["stratum"], r[value]) for r in cuts if r["_d"] == d]
+        out = F.lit(None).cast("bigint")
+        for stratum, v in found:
+            out = F.when(F.col("stratum") == stratum, F.lit(v)).otherwise(out)
+        return out
+
+    at_cut = [F.col(f"_b{d}") == by_stratum(d, "_cut") for d in range(times)]
+    below = [F.col(f"_b{d}") < by_stratum(d, "_cut") for d in range(times)]
+    any_cut = F.lit(False)
+    for c in at_cut:
+        any_cut = any_cut | c
+
+    def mask(bits: list):
+        out = F.lit(0)
+        for d, bit in enumerate(bits):
+            out = out.bitwiseOR(F.when(bit, F.lit(1 << d)).otherwise(F.lit(0)))
+        return out.cast("int").alias("test_mask")
+
+    settled = x.where(~any_cut).select(*own, mask(below))
+    order = [*keys, *[c for c in own if c not in keys]]
+    edge = x.where(any_cut)
+    for d in range(times):
+        edge = edge.withColumn(f"_at{d}", at_cut[d])
+        ranked = Window.partitionBy("stratum", f"_at{d}").orderBy(f"_h{d}", *order)
+        edge = edge.withColumn(f"_rank{d}", F.row_number().over(ranked))
+    edge = edge.select(*own, mask([F.when(F.col(f"_at{d}"), F.col(f"_rank{d}") <= by_stratum(d, "_need")).otherwise(below[d]) for d in range(times)]))
+    flagged = stage(settled.unionByName(edge), f"resamples-{seed}")
+
+    out, unknown, small = flagged, F.lit(0), True
+    for k in KNOWN_KEYS:
+        lost = stage(flagged.groupBy(k).agg(F.bit_and("test_mask").alias(f"_lost_{k}")).where(F.col(f"_lost_{k}") != 0), f"unknown-{k}")
+        fits = lost.count() <= MAX_LOCAL_UNKNOWN
+        small = small and fits
+        out = out.join(F.broadcast(lost) if fits else lost, k, "left")
+        unknown = unknown.bitwiseOR(F.coalesce(F.col(f"_lost_{k}"), F.lit(0)))
+    out = out.select(*own, "test_mask", F.col("test_mask").bitwiseAND(unknown).alias("drop_mask"))
+    return out if small else stage(out, f"resamples-{seed}-repaired")
+
+
+def draws_of(masked: DataFrame, times: int = 5) -> DataFrame:
+    """The rows of ``resample_masks`` once for each draw, with ``draw`` (from 1) and
+    ``is_test``; dropped rows are left out of their draw."""
+    return (masked.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(times))))
+            .where(F.getbit("drop_mask", F.col("draw") - 1) == 0)
+            .withColumn("is_test", F.getbit("test_mask", F.col("draw") - 1) == 1).drop("test_mask", "drop_mask"))
+
+
 def resamples(df: DataFrame, times: int = 5, p: float = 0.2, seed: str = RESAMPLE_SEED,
               y: str = "rating") -> DataFrame:
-    """Repeated stratified hold-outs, all in one frame: every row once per draw
-    with ``draw`` (1..times) and ``is_test``.  Strata are computed once (as one
-    multi-draw partition call does); each draw has its own hash seed.  Test
-    rows with an unseen user or movie in their draw are dropped.  The exploded
-    frame is staged once (pruned to the caller's columns)."""
-    x = add_strata(df, y).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(times))))
-    seed_col = F.concat_ws(".", F.lit(seed), F.col("draw").cast("string"))
-    x = stage(holdout_flags(x, p, seed_col, by=("draw", "stratum")), f"resamples-{seed}")
-    x, all_small = unknown_flag(x, "is_test", by=("draw",))
-    out = x.where(~F.col("_unknown")).drop("_unknown", "stratum")
-    return out if all_small else stage(out, f"resamples-{seed}-repaired")
+    """Repeated stratified hold-outs as rows: ``draws_of`` the masks."""
+    return draws_of(resample_masks(df, times, p, seed, y), times)

@@ -20,10 +20,15 @@ from ratecraft.operators import explore as ex
 from ratecraft.operators import factorization as mf
 from ratecraft.operators import genres as gx
 from ratecraft.operators import report as rp
+from ratecraft.operators import sgd
+from ratecraft.operators import sketches as sk
 from ratecraft.operators import splits as sp
 from ratecraft.operators import tuning as tu
+from ratecraft.operators.joins import natural_anti_join
 from ratecraft.plans import stages
-from ratecraft.sources.fixture import fixture_ratings
+from ratecraft.session import staged_path
+from ratecraft.sources.fixture import fixture_movies, fixture_ratings, raw_ratings
+from ratecraft.sources.text import enrich_ratings, line_counts, parse_ratings, read_movies_dat, read_ratings_dat, write_dat
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -155,12 +160,12 @@ def grid_frame(spark, sf_dir, name: str) -> DataFrame:
     keys, (lo, hi, step), flags = GRIDS[name]
 
     def build():
-        f, ks = stages.folds(spark, sf_dir), list(keys)
+        f, ks = stages.fold_masks(spark, sf_dir), list(keys)
         genres = _resolve_flags(spark, sf_dir, flags)
         if genres is not None:
             f = gx.with_genre_flags(f, genres, prefix="g")
             ks += [f"g{i}" for i in range(1, len(genres) + 1)]
-        return tu.lambda_grid(f, ks, lambda_grid_values(lo, hi, step), label=name)
+        return tu.lambda_grid_of_masks(f, ks, lambda_grid_values(lo, hi, step), stages.DRAWS, label=name)
     return stages.memo(spark, sf_dir, name, build)
 
 
@@ -174,9 +179,13 @@ def _grid_query(name: str) -> Query:
 
 
 def q_best_lambda(spark, sf_dir):
-    rows = [tu.best_lambda(grid_frame(spark, sf_dir, g)).select(F.lit(g).alias("grid"), "lam", "mean_rmse")
-            for g in GRIDS]
-    return rounded(rp.leaderboard(rows))
+    """The chosen lambda of each grid; ``at_grid_end`` says that it is the grid's first or
+    last value, so that the minimum may lie outside."""
+    def row(name: str) -> DataFrame:
+        _, (lo, hi, _), _ = GRIDS[name]
+        return tu.best_lambda(grid_frame(spark, sf_dir, name)).select(
+            F.lit(name).alias("grid"), "lam", "mean_rmse", F.col("lam").isin(lo, hi).alias("at_grid_end"))
+    return rounded(rp.leaderboard([row(g) for g in GRIDS]))
 
 
 def chosen_lambda(spark, sf_dir, grid: str) -> float:
@@ -254,12 +263,90 @@ def q_leaderboard_full(spark, sf_dir):
     return rounded(rp.leaderboard(rows))
 
 
+# Factorization by gradient descent, with the reference's own options.
+
+SGD_TUNE = [sgd.Option(rank, rate) for rank in (10, 20, 30) for rate in (0.1, 0.2)]
+SGD_TUNE_SWEEPS = 5
+SGD_TUNE_COSTS = [sgd.Option(30, rate, 0.0, 0.01, 0.0, l2_item) for rate in (0.1, 0.2) for l2_item in (0.1, 0.2)]
+SGD_TUNE_COSTS_SWEEPS = 20
+SGD_SWEEPS = 100
+SGD_ROUNDS = {"mf_sgd_tune": (SGD_TUNE, SGD_TUNE_SWEEPS), "mf_sgd_tune_costs": (SGD_TUNE_COSTS, SGD_TUNE_COSTS_SWEEPS)}
+
+
+def _sgd_round(spark, sf_dir, name: str) -> list:
+    options, sweeps = SGD_ROUNDS[name]
+    return stages.keep(spark, sf_dir, name, lambda: sgd.tune(stages.train_set(spark, sf_dir), options, sweeps))
+
+
+def _sgd_tune_query(name: str) -> Query:
+    """Five-fold error of every option of a tuning round."""
+    def run(spark, sf_dir):
+        rows = [(o.rank, o.rate, o.l1_user, o.l2_user, o.l1_item, o.l2_item, e) for o, e in _sgd_round(spark, sf_dir, name)]
+        return rounded(spark.createDataFrame(rows, "rank int, rate double, l1_user double, l2_user double, l1_item double, l2_item double, rmse double"))
+    return run
+
+
+def sgd_scores(spark, sf_dir, name: str, final: bool = False) -> DataFrame:
+    """The best option of a tuning round, trained for up to ``SGD_SWEEPS`` sweeps and
+    scored on the test set, or, ``final``, trained on edx and scored on the validation set."""
+    def build():
+        parts = (stages.edx, stages.validation) if final else (stages.train_set, stages.test_set)
+        rows, held = (part(spark, sf_dir) for part in parts)
+        return sgd.train_and_score(rows, held, sgd.best_option(_sgd_round(spark, sf_dir, name)), SGD_SWEEPS)[1]
+    return stages.memo(spark, sf_dir, f"{name}-{'validate' if final else 'test'}", build)
+
+
+def _sgd_score_query(name: str, final: bool = False) -> Query:
+    def run(spark, sf_dir):
+        return rounded(sgd_scores(spark, sf_dir, name, final).select("rmse", "n_test", "n_missing"))
+    return run
+
+
+def q_mf_sgd_rows(spark, sf_dir):
+    """Test rows of the first tuned factorization, and those without a prediction."""
+    return sgd_scores(spark, sf_dir, "mf_sgd_tune").select("n_test", "n_missing")
+
+
 # --------------------------------------------------------------------------- sources, features, genres
 
 def q_enrich_ratings(spark, sf_dir):
     return rounded(fixture_ratings(spark, sf_dir).select(*BASE_COLUMNS))
 
 
+def _dat_files(spark, sf_dir) -> tuple[str, str]:
+    """Ratings and movies written as ``::`` files to the shared folder, once per session."""
+    def build():
+        base = staged_path(spark, "dat")
+        movies = fixture_movies(spark, sf_dir).select("movieId", "title", "genres")
+        write_dat(raw_ratings(spark, sf_dir), ["userId", "movieId", "rating", "timestamp"], f"{base}/ratings.dat")
+        write_dat(movies, ["movieId", "title", "genres"], f"{base}/movies.dat")
+        return f"{base}/ratings.dat", f"{base}/movies.dat"
+    return stages.keep(spark, sf_dir, "dat", build)
+
+
+def q_text_roundtrip(spark, sf_dir):
+    """The ratings view through the ``::`` files and their readers, in strict mode."""
+    ratings, movies = _dat_files(spark, sf_dir)
+    out = enrich_ratings(read_ratings_dat(spark, ratings, strict=True), read_movies_dat(spark, movies, strict=True))
+    ids = {c: F.col(c).cast("bigint") for c in ("userId", "movieId")}  # as the view has them
+    return rounded(out.withColumns(ids).select(*BASE_COLUMNS))
+
+
+def q_text_line_counts(spark, sf_dir):
+    """Lines by what is wrong with them, of a ratings file in which some rows were spoilt
+    by a rule: no time, a fifth field, words for numbers, or an empty rating."""
+    def build():
+        path = f"{staged_path(spark, 'spoilt')}/ratings.dat"
+        kind = F.pmod(F.col("userId") * 7 + F.col("movieId"), F.lit(40))
+        rows = raw_ratings(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in ("userId", "movieId", "rating", "timestamp")], kind.alias("kind"))
+        line = F.concat_ws("::", F.when(F.col("kind") == 3, F.lit("nobody")).otherwise(F.col("userId")), "movieId",
+                           F.when(F.col("kind") == 4, F.lit("")).otherwise(F.col("rating")), F.when(F.col("kind") == 1, F.lit(None)).otherwise(F.col("timestamp")),
+                           F.when(F.col("kind") == 2, F.lit("more")))
+        rows.select(line.alias("value")).write.mode("overwrite").text(path)
+        return path
+    return line_counts(parse_ratings(spark, stages.keep(spark, sf_dir, "spoilt", build))).select(F.coalesce("reason", F.lit("record")).alias("reason"), "n")
+
+
 def q_release_year(spark, sf_dir):
     return stages.edx(spark, sf_dir).select("userId", "movieId", "title", "release_year")
 
@@ -285,6 +372,13 @@ def q_genre_flags(spark, sf_dir):
     return rounded(wide.withColumnRenamed(NO_GENRE_LABEL, NO_GENRE_COLUMN))
 
 
+def q_genre_flags_test(spark, sf_dir):
+    """The indicators of the test set, over the genres of the training set."""
+    names = gx.genre_universe(stages.train_set(spark, sf_dir))
+    wide = gx.with_genre_flags(stages.test_set(spark, sf_dir).select(*WIDE_KEYS, "genres"), names).drop("genres")
+    return rounded(wide.withColumnRenamed(NO_GENRE_LABEL, NO_GENRE_COLUMN))
+
+
 def q_genre_counts(spark, sf_dir):
     return gx.genre_counts(stages.train_set(spark, sf_dir))
 
@@ -333,6 +427,13 @@ def q_holdout_removed_anti(spark, sf_dir):
     return sp.holdout_removed(temp, validation).select("userId", "movieId")
 
 
+def q_holdout_removed_natural(spark, sf_dir):
+    """The same rows by a natural anti join: on every column, NULL equal to NULL."""
+    temp, kept = _basket_parts(spark, sf_dir)
+    columns = [*BASE_COLUMNS, "release_year", "review_year"]
+    return rounded(natural_anti_join(temp.select(*columns), sp.restrict_to_known(temp, kept).select(*columns)))
+
+
 def q_holdout_repair(spark, sf_dir):
     return stages.outer_split(spark, sf_dir, basket=True).select("userId", "movieId", "is_test")
 
@@ -348,7 +449,27 @@ def q_edx_head(spark, sf_dir):
     return rounded(_edx_base(spark, sf_dir).orderBy("userId", "movieId").limit(HEAD_ROWS))
 
 
+TOP_ROWS = 10
+QUANTILES = [0.0, 0.25, 0.5, 0.75, 1.0]
+SKETCHED = ["userId", "movieId", "title"]
+
+
+def q_distinct_sketched(spark, sf_dir):
+    """Distinct counts from sketches kept by review year and united, beside the exact
+    count: whether the estimate is within the sketch's error bound."""
+    kept = stages.memo(spark, sf_dir, "sketches", lambda: sk.distinct_sketches(stages.edx(spark, sf_dir), SKETCHED, ["review_year"]))
+    both = sk.united_counts(kept, SKETCHED).crossJoin(F.broadcast(ex.distinct_counts(stages.edx(spark, sf_dir), SKETCHED).select(  # two rows of one
+        *[F.col(f"n_{c}").alias(f"exact_{c}") for c in SKETCHED])))
+    return both.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col(f"exact_{c}").alias("n_exact"),
+        (F.abs(F.col(f"n_{c}") - F.col(f"exact_{c}")) <= F.col(f"exact_{c}") * F.lit(sk.relative_error()) + F.lit(1)).alias("within_bound")) for c in SKETCHED])))
+
+
 EXPLORE: dict[str, Query] = {
+    "top_movies": lambda s, d: ex.top_by_count(stages.edx(s, d), ["movieId", "title"], TOP_ROWS),
+    "top_users": lambda s, d: ex.top_by_count(stages.edx(s, d), ["userId"], TOP_ROWS),
+    "column_quantiles": lambda s, d: rounded(ex.column_quantiles(stages.edx(s, d), ["rating", "timestamp", "movieId"], QUANTILES)),
+    "distinct_sketched": q_distinct_sketched,
     "edx_head": q_edx_head,
     "profile_shape": lambda s, d: ex.profile_shape(_edx_base(s, d)),
     "column_types": lambda s, d: ex.column_types(_edx_base(s, d)),
@@ -382,6 +503,9 @@ def queries() -> dict[str, Query]:
         "enrich_ratings": q_enrich_ratings,
         "release_year": q_release_year,
         "review_year": q_review_year,
+        "text_roundtrip": q_text_roundtrip,
+        "text_line_counts": q_text_line_counts,
+        "genre_flags_test": q_genre_flags_test,
         "genre_explode": q_genre_explode,
         "genre_pivot": q_genre_pivot,
         "genre_flags": q_genre_flags,
@@ -389,6 +513,7 @@ def queries() -> dict[str, Query]:
         "resamples": q_resamples,
         "known_keys_semi": q_known_keys_semi,
         "holdout_removed_anti": q_holdout_removed_anti,
+        "holdout_removed_natural": q_holdout_removed_natural,
         "holdout_repair": q_holdout_repair,
     }
     out.update(EXPLORE)
@@ -412,5 +537,11 @@ def queries() -> dict[str, Query]:
         "mf_tune_reg": q_mf_tune_reg,
         "mf_rmse": q_mf_rmse,
         "mf_validate": q_mf_validate,
+        "mf_sgd_tune": _sgd_tune_query("mf_sgd_tune"),
+        "mf_sgd_rmse": _sgd_score_query("mf_sgd_tune"),
+        "mf_sgd_rows": q_mf_sgd_rows,
+        "mf_sgd_tune_costs": _sgd_tune_query("mf_sgd_tune_costs"),
+        "mf_sgd_rmse_costs": _sgd_score_query("mf_sgd_tune_costs"),
+        "mf_sgd_validate": _sgd_score_query("mf_sgd_tune_costs", final=True),
     })
     return out

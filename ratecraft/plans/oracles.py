@@ -93,8 +93,9 @@ def best_lambda_sql() -> str:
         ctes, grid = _grid_ctes(f"q{i}", name, ctes)
         ctes = ctes + [(f"q{i}_best", f"SELECT lam, mean_rmse FROM {grid} WHERE mean_rmse IS NOT NULL "
                                       f"ORDER BY mean_rmse, lam LIMIT 1")]
-        selects.append(f"SELECT '{name}' AS grid, {r6('lam')} AS lam, {r6('mean_rmse')} AS mean_rmse "
-                       f"FROM q{i}_best")
+        lo, hi, _ = cat.GRIDS[name][1]
+        selects.append(f"SELECT '{name}' AS grid, {r6('lam')} AS lam, {r6('mean_rmse')} AS mean_rmse, "
+                       f"lam IN ({lo}, {hi}) AS at_grid_end FROM q{i}_best")
     return with_ctes(ctes, "\nUNION ALL\n".join(selects))
 
 
@@ -204,6 +205,30 @@ def column_types_sql() -> str:
         f"CAST(count_if(\"{c}\" IS NULL) AS BIGINT) AS n_missing FROM edx" for i, c in enumerate(cat.BASE_COLUMNS, start=1)))
 
 
+def _top(keys: list[str]) -> str:
+    k = ", ".join(keys)
+    return (f"SELECT * FROM (SELECT {k}, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, {k}) AS INTEGER) AS place "
+            f"FROM edx GROUP BY {k}) WHERE place <= {cat.TOP_ROWS}")
+
+
+def _quantiles(col: str) -> str:
+    each = ", ".join(f"{{'p': CAST({q} AS DOUBLE), 'value': quantile_cont(CAST({col} AS DOUBLE), {q})}}" for q in cat.QUANTILES)
+    return f"SELECT '{col}' AS column_name, unnest([{each}]) AS q FROM edx"
+
+
+def line_counts_sql() -> str:
+    reason = "CASE (userId * 7 + movieId) % 40 WHEN 1 THEN 'fields' WHEN 2 THEN 'fields' WHEN 3 THEN 'userId' WHEN 4 THEN 'rating' ELSE 'record' END"
+    return with_ctes(ratings_ctes(), f"SELECT {reason} AS reason, count(*) AS n FROM raw_ratings GROUP BY 1")
+
+
+def natural_anti_sql(basket) -> str:
+    columns = [*cat.BASE_COLUMNS, "release_year", "review_year"]
+    same = " AND ".join(f't."{c}" IS NOT DISTINCT FROM v."{c}"' for c in columns)
+    out = ", ".join(f'{r6("rating")} AS rating' if c == "rating" else f'"{c}"' for c in columns)
+    return with_ctes(basket + [("temp_", "SELECT * FROM outer_split_k WHERE raw_test"), ("validation_", "SELECT * FROM temp_ WHERE known_")],
+                     f"SELECT {out} FROM temp_ t WHERE NOT EXISTS (SELECT 1 FROM validation_ v WHERE {same})")
+
+
 def oracle_sql() -> dict[str, str]:
     edx_flow = flow_ctes(inner=False)
     full = flow_ctes()
@@ -268,6 +293,21 @@ WHERE n > (SELECT count(*) FROM train_set) * CAST({cat.SIGNIFICANT_MIN_SHARE!r}
   CAST(sum(CASE WHEN list_contains(string_split(genres, '|'), {_q(cat.HORROR_STAND_IN)}) THEN 1 ELSE 0 END) AS BIGINT) AS n_horror,
   CAST(sum(CASE WHEN list_contains(string_split(genres, '|'), {_q(cat.ACTION_STAND_IN)}) THEN 1 ELSE 0 END) AS BIGINT) AS n_action
 FROM train_set"""),
+    }
+    out |= {
+        "text_roundtrip": out["enrich_ratings"],
+        "text_line_counts": line_counts_sql(),
+        "genre_flags_test": with_ctes(full, _pivot("test_set", list(cat.WIDE_KEYS))),
+        "holdout_removed_natural": natural_anti_sql(basket),
+        "top_movies": with_ctes(edx_flow, _top(["movieId", "title"])),
+        "top_users": with_ctes(edx_flow, _top(["userId"])),
+        "column_quantiles": with_ctes(edx_flow, f"SELECT column_name, {r6('q.p')} AS p, {r6('q.value')} AS value FROM ("
+                                      + "\nUNION ALL\n".join(_quantiles(c) for c in ("rating", '"timestamp"', "movieId")).replace("'\"timestamp\"'", "'timestamp'") + ")"),
+        "distinct_sketched": with_ctes(edx_flow, "\nUNION ALL\n".join(
+            f"SELECT '{c}' AS column_name, CAST(count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_exact, true AS within_bound FROM edx"
+            for c in cat.SKETCHED)),
+        "mf_sgd_rows": with_ctes(full, """SELECT count(*) AS n_test, CAST(count_if(
+    userId NOT IN (SELECT userId FROM train_set) OR movieId NOT IN (SELECT movieId FROM train_set)) AS BIGINT) AS n_missing FROM test_set"""),
     }
     for name, (keys, lam, flags) in cat.MODELS.items():
         out[name] = model_sql(name, keys, lam, flags)

@@ -7,19 +7,18 @@ Each step is written once as Parquet under the checkpoint folder (see
 ``ratecraft.session.stage``) and read back, so every later query scans a
 columnar file with pruning and pushdown instead of re-planning the joins and
 splits above it (a split is its staged flag table plus broadcast joins with
-the small unknown-key sets).  The memo is keyed by application id and input
-folder.
+the small unknown-key sets).  The memo is keyed by application id, input folder
+and the names, sizes and times of its files, so changed input is read anew.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratecraft.operators.features import with_years
 from ratecraft.operators.splits import INNER_SEED, OUTER_SEED, stratified_split
-from ratecraft.session import stage
+from ratecraft.session import drop_staged, input_version, stage
 from ratecraft.sources.fixture import basket_ratings, fixture_ratings
 from ratecraft.sources.text import enrich_ratings, read_movies_dat, read_ratings_dat
 
@@ -33,25 +32,28 @@ _memo: dict[tuple, object] = {}
 
 
 def _cached(spark: SparkSession, sf_dir: str, name: str, build):
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    folder = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, folder, input_version(spark, folder), name)
     if key not in _memo:
         _memo[key] = build()
     return _memo[key]
 
 
-def clear_memo() -> None:
+def clear_memo(spark: SparkSession | None = None) -> None:
+    """Forget every result; with a session, delete its staged files too."""
     _memo.clear()
+    if spark is not None:
+        drop_staged(spark)
 
 
 def is_text_source(spark: SparkSession, folder: str) -> bool:
     """True when ``folder`` holds ``ratings.dat`` and ``movies.dat`` (a file
-    listing, no job)."""
-    try:
-        spark.read.text(f"{folder.rstrip('/')}/{RATINGS_FILE}")
-        spark.read.text(f"{folder.rstrip('/')}/{MOVIES_FILE}")
-        return True
-    except AnalysisException:
-        return False
+    listing, no job); one without the other is an error."""
+    names = {name for name, *_ in input_version(spark, folder)}
+    found = {RATINGS_FILE, MOVIES_FILE} & names
+    if len(found) == 1:
+        raise FileNotFoundError(f"{folder} holds {found.pop()} without the other of {RATINGS_FILE} and {MOVIES_FILE}")
+    return len(found) == 2
 
 
 def text_ratings(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,11 +107,21 @@ def test_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 FOLD_COLUMNS = ["userId", "movieId", "rating", "release_year", "review_year", "genres"]
 
 
-def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five stratified 20% resamples of the training set (``draw``, ``is_test``),
+DRAWS = 5
+
+
+def fold_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training set with the draws that hold each row out (``test_mask``) and
+    those it is dropped from (``drop_mask``): five stratified 20% resamples,
     pruned to the columns the lambda searches use."""
-    from ratecraft.operators.splits import resamples
-    return _cached(spark, sf_dir, "folds", lambda: resamples(train_set(spark, sf_dir).select(*FOLD_COLUMNS)))
+    from ratecraft.operators.splits import resample_masks
+    return _cached(spark, sf_dir, "folds", lambda: resample_masks(train_set(spark, sf_dir).select(*FOLD_COLUMNS), DRAWS))
+
+
+def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The resamples as rows (``draw``, ``is_test``)."""
+    from ratecraft.operators.splits import draws_of
+    return draws_of(fold_masks(spark, sf_dir), DRAWS)
 
 
 def raw_basket_split(spark: SparkSession, sf_dir: str) -> DataFrame:

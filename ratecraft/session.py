@@ -75,10 +75,39 @@ def _parent_of_context_dir(context_dir: str, conf_dir: str | None) -> str:
     return context_dir.rstrip("/").rsplit("/", 1)[0]
 
 
+def _stage_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/{_STAGE_SUBDIR}/{spark.sparkContext.applicationId}"
+
+
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A new path for a staged result of this application."""
+    return f"{_stage_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back."""
-    spark = df.sparkSession
-    root = checkpoint_root(spark).rstrip("/")
-    path = f"{root}/{_STAGE_SUBDIR}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    path = staged_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _path(spark: SparkSession, folder: str):
+    """A folder and its file system, as the cluster's own file layer names them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete every staged result of this application; frames read from them end here."""
+    path, files = _path(spark, _stage_folder(spark))
+    files.delete(path, True)
+
+
+def input_version(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of the files in ``folder`` and in its tables: a listing, no job."""
+    path, files = _path(spark, folder)
+    out = []
+    for f in files.listStatus(path):
+        parts = files.listStatus(f.getPath()) if f.isDirectory() else [f]
+        out += [(f.getPath().getName(), x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in parts]
+    return tuple(sorted(out))

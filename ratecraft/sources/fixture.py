@@ -53,20 +53,22 @@ def _rating_aggregates() -> list:
     return [rating, ts]
 
 
-def fixture_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``ratings``: lineitem joined to orders for the customer, grouped by
-    (customer, part), enriched with the movie catalog.
+def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem joined to orders for the customer, grouped by (customer, part).
 
     Plan: lineitem and orders are both large, so the join shuffles on the order
-    key; the group-by runs a partial (map-side) aggregate first; the catalog
-    join is the reference's left join (J1).
+    key; the group-by runs a partial (map-side) aggregate first.
     """
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    raw = (li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
-           .groupBy(F.col("o_custkey").alias("userId"), F.col("l_partkey").alias("movieId"))
-           .agg(*_rating_aggregates()))
-    return enrich_ratings(raw, fixture_movies(spark, sf_dir))
+    return (li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
+            .groupBy(F.col("o_custkey").alias("userId"), F.col("l_partkey").alias("movieId"))
+            .agg(*_rating_aggregates()))
+
+
+def fixture_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ratings``: the raw ratings with the movie catalog (the reference's left join, J1)."""
+    return enrich_ratings(raw_ratings(spark, sf_dir), fixture_movies(spark, sf_dir))
 
 
 def basket_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import pytest
 """Text readers on small files (the reference's two input formats)."""
 
 import tempfile
@@ -55,3 +56,43 @@ def test_fixture_ratings_shape(spark):
     stats = df.selectExpr("count(*) n", "count(distinct userId, movieId) k", "min(rating) lo", "max(rating) hi").first()
     assert stats["n"] == stats["k"] == 5382
     assert stats["lo"] >= 0.5 and stats["hi"] <= 5.0
+
+
+def test_bad_lines_are_counted_and_never_rows(spark, tmp_path):
+    from ratecraft.sources.text import BadLines, line_counts, parse_movies, parse_ratings, read_movies_dat, read_ratings_dat
+    path = tmp_path / "ratings.dat"
+    path.write_text("1::2::3.5::100\n1::2::3.5\n1::2::3.5::100::5\nx::2::3.5::100\n1::2::::100\n1::2::nan::100\n\n1::99999999999::1::1\n2::3::4::5\n")
+    counts = {r["reason"]: r["n"] for r in line_counts(parse_ratings(spark, str(path))).collect()}
+    assert counts == {None: 2, "fields": 3, "userId": 1, "rating": 2, "movieId": 1}
+    good = read_ratings_dat(spark, str(path))
+    assert sorted(tuple(r) for r in good.collect()) == [(1, 2, 3.5, 100), (2, 3, 4.0, 5)]
+    with pytest.raises(BadLines, match="fields: 3"):
+        read_ratings_dat(spark, str(path), strict=True)
+    movies = tmp_path / "movies.dat"
+    movies.write_text("1::A::B::C\nnone::T::G\n2::Short\n")
+    assert sorted(tuple(r) for r in read_movies_dat(spark, str(movies)).collect()) == [(1, "A", "B::C"), (2, "Short", "")]
+    assert {r["reason"]: r["n"] for r in line_counts(parse_movies(spark, str(movies))).collect()} == {None: 2, "movieId": 1}
+    with pytest.raises(BadLines):
+        read_movies_dat(spark, str(movies), strict=True)
+
+
+def test_changed_input_is_read_anew_and_staged_files_go(spark, tmp_path):
+    import os
+    import shutil
+
+    from ratecraft.plans import stages
+    from ratecraft.session import _stage_folder
+    folder = tmp_path / "data"
+    folder.mkdir()
+    (folder / "movies.dat").write_text("1::A (1990)::x|y\n")
+    (folder / "ratings.dat").write_text("1::1::3.5::100\n")
+    assert stages.ratings(spark, str(folder)).count() == 1
+    (folder / "ratings.dat").write_text("1::1::3.5::100\n2::1::4.5::100\n")
+    assert stages.ratings(spark, str(folder)).count() == 2
+    (folder / "movies.dat").unlink()
+    with pytest.raises(FileNotFoundError):
+        stages.ratings(spark, str(folder))
+    held = _stage_folder(spark).removeprefix("file:")
+    assert os.path.isdir(held)
+    stages.clear_memo(spark)
+    assert not os.path.exists(held)
