@@ -40,7 +40,7 @@ from ratecraft.llm.common import short_batches, stage, table
 #: Pairs of ids whose counts are broadcast (17 bytes each); more are joined.
 BROADCAST_PAIRS = 4_000_000
 #: Characters that a process's memo of units may hold, and the longest unit in it.
-MEMO_CHARACTERS, MEMO_UNIT = 1 << 22, 256
+MEMO_CHARACTERS, MEMO_UNIT = 1 << 23, 256
 #: Units that go through the tokenizers together.
 UNITS = 3000
 #: Links that a task holds before it counts them together.
