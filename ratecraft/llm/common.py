@@ -5,12 +5,28 @@ from __future__ import annotations
 import gc
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratecraft.session import stage
 
-__all__ = ["stage", "table", "chunks", "utf8", "offsets_by_partition", "release_shuffles", "short_batches"]
+__all__ = ["stage", "table", "chunks", "utf8", "carried", "offsets_by_partition", "release_shuffles", "short_batches"]
+
+#: The column in which an operator carries its input's own columns.
+CARRIED = "carried"
+
+
+def carried(df: DataFrame, results: list[str], only: list[str] | None = None) -> tuple[Column, list[str]]:
+    """One struct of the columns of ``df`` (or of ``only``) besides those that carry a
+    result's name, and the expressions that unpack it.
+
+    Whatever an operator calls its own columns, they cannot meet those of its
+    input, which are one column while it works.
+    """
+    kept = [c for c in (only or df.columns) if c not in results]
+    quoted = ["`" + c.replace("`", "``") + "`" for c in kept]
+    struct = F.struct(*[F.col(q) for q in quoted]) if kept else F.struct(F.lit(None).cast("string").alias("none"))
+    return struct.alias(CARRIED), [f"{CARRIED}.{q}" for q in quoted]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import chunks, short_batches, table, utf8
+from ratecraft.llm.common import CARRIED, carried, chunks, short_batches, stage, table, utf8
 
 BUCKETS = 1 << 16
 GRAMS = (2, 3)
@@ -50,31 +50,56 @@ def _band(value: Column, bad_from: float, good_to: float) -> Column:
     return F.when(value >= bad_from, BAD).when(value <= good_to, GOOD).otherwise(NONE)
 
 
-def labellers(text: Column, words: Column) -> dict[str, Column]:
-    """The votes on a non-null text and its words; each is an expression of Spark."""
+def measures(text: Column, words: Column) -> dict[str, Column]:
+    """What the labellers look at, each an expression of Spark on a non-null text and its words."""
     n = F.size(words)
-    distinct = F.size(F.array_distinct(words)) / F.greatest(n, F.lit(1))
-    mean = F.length(text) / F.greatest(n, F.lit(1))
+    return {
+        "n": n,
+        "mean": F.length(text) / F.greatest(n, F.lit(1)),
+        "distinct": F.size(F.array_distinct(words)) / F.greatest(n, F.lit(1)),
+        "marked": _marked(words, n),
+        "signs": _share(text, r"[\p{L}\p{N}\s.,;:'\"?()\-]"),
+        "capitals": _share(text, r"[^\p{Lu}]"),
+        "columns": _share(text, r"[^|\t]"),
+        "stutter": text.rlike(r"(?:^|\s)(\S+)(?:\s+\1){4}(?:\s|$)"),
+        "sign_runs": text.rlike(r"([^\p{L}\p{N}\s.\-=_])\1"),
+        "sentences": text.rlike(r"\p{Ll}[.?!](\s|$)"),
+    }
+
+
+def labellers(m: dict[str, Column]) -> dict[str, Column]:
+    """The votes on the measures of a text."""
+    n, mean = m["n"], m["mean"]
     return {
         "length": F.when(n < 2, BAD).when(n > 30, GOOD).otherwise(NONE),
-        "signs": _band(_share(text, r"[\p{L}\p{N}\s.,;:'\"?()\-]"), 0.06, 0.015),
-        "capitals": _band(_share(text, r"[^\p{Lu}]"), 0.3, 0.08),
-        "distinct": F.when(n < 30, NONE).when(distinct < 0.25, BAD).when(distinct > 0.35, GOOD).otherwise(NONE),
-        "stutter": F.when(text.rlike(r"(?:^|\s)(\S+)(?:\s+\1){4}(?:\s|$)"), BAD).otherwise(GOOD),
-        "sign runs": F.when(text.rlike(r"([^\p{L}\p{N}\s.\-=_])\1"), BAD).otherwise(GOOD),
-        "marked words": _band(_marked(words, n), 0.2, 0.05),
+        "signs": _band(m["signs"], 0.06, 0.015),
+        "capitals": _band(m["capitals"], 0.3, 0.08),
+        "distinct": F.when(n < 30, NONE).when(m["distinct"] < 0.25, BAD).when(m["distinct"] > 0.35, GOOD).otherwise(NONE),
+        "stutter": F.when(m["stutter"], BAD).otherwise(GOOD),
+        "sign runs": F.when(m["sign_runs"], BAD).otherwise(GOOD),
+        "marked words": _band(m["marked"], 0.2, 0.05),
         "word length": F.when((mean < 2.5) | (mean > 14), BAD).when((mean > 3.5) & (mean < 10), GOOD).otherwise(NONE),
-        "columns": _band(_share(text, r"[^|\t]"), 0.02, 0.0),
-        "sentences": F.when(text.rlike(r"\p{Ll}[.?!](\s|$)"), GOOD).otherwise(BAD),
+        "columns": _band(m["columns"], 0.02, 0.0),
+        "sentences": F.when(m["sentences"], GOOD).otherwise(BAD),
     }
 
 
+def _voted(rows: DataFrame, text: Column) -> DataFrame:
+    """``rows``, whose columns are named here, with ``votes``.  Words and measures are
+    columns of their own first: each is taken once, however many votes read it."""
+    own = rows.columns
+    raw = rows.select(*own, F.coalesce(text, F.lit("")).alias("raw"))
+    worded = raw.select(*own, "raw", F.filter(F.split("raw", r"\s+"), lambda w: w != "").alias("words"))
+    taken = measures(F.col("raw"), F.col("words"))
+    measured = worded.select(*own, *[m.alias(f"m_{name}") for name, m in taken.items()])
+    votes = labellers({name: F.col(f"m_{name}") for name in taken})
+    return measured.select(*own, F.array(*[v.cast("int") for v in votes.values()]).alias("votes"))
+
+
 def with_votes(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with ``votes``, an array of 1 (good), 0 (bad) or -1 (no vote); null texts are empty."""
-    raw = df.withColumn("_raw", F.coalesce(F.col(text), F.lit("")))
-    raw = raw.withColumn("_words", F.filter(F.split("_raw", r"\s+"), lambda w: w != ""))
-    votes = F.array(*[v.cast("int") for v in labellers(F.col("_raw"), F.col("_words")).values()])
-    return raw.withColumn("votes", votes).drop("_raw", "_words")
+    own, kept = carried(df, ["votes"])
+    return _voted(df.select(own, F.col(text).alias("text")), F.col("text")).select(*kept, "votes")
 
 
 @dataclass
@@ -173,11 +198,20 @@ class Scorer:
 
 
 def fit_scorer(voted: DataFrame, model: LabelModel, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Scorer:
-    """The averaged scorer of a sample of about ``sample`` rows, chosen and ordered by key hash."""
+    """The averaged scorer of a sample of about ``sample`` rows, chosen and ordered by a
+    hash of key and text; repeated rows, which are chosen together, are thinned
+    where more than twice as many come out."""
     total = voted.count()
-    place = F.xxhash64(F.col(key).cast("string"), F.lit("quality"))
-    u = F.shiftrightunsigned(place, 11) / F.lit(float(1 << 53))
-    chosen = voted.where(u < min(1.0, sample / max(1, total))).select(F.coalesce(F.col(text), F.lit("")).alias("text"), "votes", place.alias("order"))
+    place = F.xxhash64(F.col(key).cast("string"), F.lit("quality"), F.xxhash64(text))
+
+    def below(hashed: Column, share: float) -> Column:
+        return F.shiftrightunsigned(hashed, 11) / F.lit(float(1 << 53)) < min(1.0, share)
+
+    chosen = voted.where(below(place, sample / max(1, total)))
+    n = chosen.count()
+    if n > 2 * sample:
+        chosen = chosen.where(below(F.xxhash64(F.monotonically_increasing_id()), sample / n))
+    chosen = chosen.select(F.coalesce(F.col(text), F.lit("")).alias("text"), "votes", place.alias("order"))
 
     @F.pandas_udf("double")
     def posterior(votes: pd.Series) -> pd.Series:
@@ -194,6 +228,12 @@ def fit_scorer(voted: DataFrame, model: LabelModel, key: str = "doc_id", text: s
 def _scores(texts: list[bytes], votes: np.ndarray, scorer: Scorer) -> np.ndarray:
     out = scorer.bias + VOTE_SHARE * scorer.weight[_vote_places(votes)].sum(axis=1)
     for a, b in chunks([len(t) for t in texts], _BATCH_BYTES):
+        if b - a == 1 and len(texts[a]) > 2 * _BATCH_BYTES:  # a long text, slice by slice
+            data = np.frombuffer(texts[a], dtype=np.uint8)
+            for n in GRAMS:
+                grams = sum(float(scorer.weight[_hashed(data[at: at + _BATCH_BYTES + n - 1], n)].sum()) for at in range(0, len(data) - n + 1, _BATCH_BYTES))
+                out[a] += grams / (len(data) - n + 1)
+            continue
         data = np.frombuffer(b"".join(texts[a:b]) + b"\0" * max(GRAMS), dtype=np.uint8)
         lengths = np.array([len(t) for t in texts[a:b]])
         starts = np.cumsum(lengths) - lengths
@@ -209,15 +249,22 @@ def classify(df: DataFrame, key: str = "doc_id", text: str = "text", sample: int
     """``df`` with ``posterior`` (of the label model), ``score`` (of the scorer, 0 to 1) and ``keep``.
 
     Null texts are empty; empty texts are scored by their votes.  Repeated rows
-    score alike.  An empty input gives an empty result.  Columns of ``df`` with
-    a result's name are replaced, all others are kept.
+    score alike.  An empty input gives an empty result.  A long text is scored in
+    slices.  Columns of ``df`` with a result's name are replaced, all others are
+    kept whatever their names.
     """
     short_batches(df.sparkSession)
-    voted = with_votes(df.drop("posterior", "score", "keep", "votes"), text)
+    results = ["posterior", "score", "keep"]
+    own, kept = carried(df, results)
+    inside = text not in results  # the text is carried, and is written once
+    rows = df.select(own, F.col(key).alias("key"), *([] if inside else [F.col(text).alias("text")]))
+    where = f"{CARRIED}.`{text}`" if inside else "text"
+    voted = stage(_voted(rows, F.col(where)), "votes")
     model = fit_labels(voted)
     if model is None:
-        return voted.drop("votes").withColumn("posterior", F.lit(None).cast("double")).withColumn("score", F.lit(None).cast("double")).withColumn("keep", F.lit(None).cast("boolean"))
-    shared = df.sparkSession.sparkContext.broadcast((model, fit_scorer(voted, model, key, text, sample)))  # of a fixed size
+        none = F.lit(None)
+        return voted.select(*kept, none.cast("double").alias("posterior"), none.cast("double").alias("score"), none.cast("boolean").alias("keep"))
+    shared = df.sparkSession.sparkContext.broadcast((model, fit_scorer(voted, model, "key", where, sample)))  # of a fixed size
 
     @F.pandas_udf("posterior double, score double")
     def predict(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -229,9 +276,8 @@ def classify(df: DataFrame, key: str = "doc_id", text: str = "text", sample: int
             v = np.stack(votes.tolist()).astype(int)
             yield pd.DataFrame({"posterior": labels.posterior(v), "score": _scores([utf8(t) for t in texts.tolist()], v, scorer)})
 
-    out = voted.withColumn("_q", predict(F.col(text), F.col("votes"))).drop("votes")
-    return (out.withColumn("posterior", F.col("_q.posterior")).withColumn("score", F.col("_q.score"))
-            .withColumn("keep", F.col("score") >= KEEP_FROM).drop("_q"))
+    scored = voted.select(CARRIED, predict(F.col(where), F.col("votes")).alias("q"))
+    return scored.select(*kept, "q.posterior", "q.score", (F.col("q.score") >= KEEP_FROM).alias("keep"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
