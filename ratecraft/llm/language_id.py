@@ -15,14 +15,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import chunks, short_batches, table, utf8
+from ratecraft.llm.common import carried, chunks, short_batches, table
 
 #: Hash buckets of the n-grams.
 BUCKETS = 1 << 16
-#: Lengths, in bytes of UTF-8, of the character n-grams.
+#: Lengths of the character n-grams.
 GRAMS = (1, 2, 3, 4)
 #: Bound of the labelled sample: at most about so many documents of a language are learned from.
 DOCS_PER_LANGUAGE = 6_000
@@ -35,7 +35,9 @@ UNDETERMINED = "und"
 #: A document of a lower score is rejected by ``accepted``.
 LEAST_SCORE = 0.5
 
-_BATCH_BYTES = 1 << 18
+_BATCH_BYTES = 1 << 17
+#: Characters of a long text that are scored at a time.
+_SLICE = 1 << 17
 _TRAIN_PARTITIONS = 24
 
 
@@ -47,24 +49,32 @@ class LanguageModel:
 
 
 def _hashed(data: np.ndarray, n: int) -> np.ndarray:
-    """The bucket of the n-gram that starts at each byte (the last n - 1 have none)."""
-    if n == 1:
-        return data.astype(np.uint32)
-    code = data[: len(data) - n + 1].astype(np.uint32)
-    for k in range(1, n):
-        code = (code << np.uint32(8)) | data[k: len(data) - n + 1 + k]
-    code = code ^ np.uint32(n * 0x9E3779B9 & 0xFFFFFFFF)
+    """The bucket of the n-gram that starts at each character (the last n - 1 have none)."""
+    code = np.full(len(data) - n + 1, n * 0x9E3779B9 & 0xFFFFFFFF, dtype=np.uint32)
+    for k in range(n):
+        code = (code ^ data[k: len(data) - n + 1 + k]) * np.uint32(0x01000193)
     code = (code ^ (code >> np.uint32(15))) * np.uint32(0x85EBCA6B)
     code = (code ^ (code >> np.uint32(13))) * np.uint32(0xC2B2AE35)
     return code >> np.uint32(32 - (BUCKETS.bit_length() - 1))
 
 
-def _packed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _characters(text: str) -> np.ndarray:
+    """A text's code points in lower case."""
+    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
+
+def _packed(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Texts in one array, each followed by zeros, so that the n-grams that start
     in a text hold nothing of the next; and where each text starts."""
-    gap = b"\0" * max(GRAMS)
+    gap = np.zeros(max(GRAMS), dtype=np.uint32)
     starts = np.cumsum([0] + [len(t) + len(gap) for t in texts[:-1]])
-    return np.frombuffer(gap.join(texts) + gap, dtype=np.uint8), starts
+    return np.concatenate([part for t in texts for part in (t, gap)]), starts
+
+
+def _slices(data: np.ndarray, end: int) -> Iterator[tuple[np.ndarray, int]]:
+    """Slices of packed texts and how many n-grams start in each: those up to ``end``."""
+    for at in range(0, end, _SLICE):
+        yield data[at: at + _SLICE + max(GRAMS) - 1], min(_SLICE, end - at)
 
 
 def _letters(text: str | None) -> bool:
@@ -80,10 +90,10 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             docs[lang] = docs.get(lang, 0) + len(texts)
             texts = texts.tolist()
             for a, b in chunks([len(t) for t in texts], _BATCH_BYTES):
-                data, _ = _packed([utf8(t).lower() for t in texts[a:b]])
-                for n in GRAMS:
-                    grams = _hashed(data, n)
-                    total += np.bincount(grams[data[: len(grams)] != 0], minlength=BUCKETS)
+                data, _ = _packed([_characters(t) for t in texts[a:b]])
+                for part, many in _slices(data, len(data) - max(GRAMS) + 1):
+                    for n in GRAMS:
+                        total += np.bincount(_hashed(part, n)[:many][part[:many] != 0], minlength=BUCKETS)
     if counts:
         yield pd.DataFrame({"lang": list(counts), "docs": [docs[x] for x in counts], "counts": [v.tobytes() for v in counts.values()]})
 
@@ -100,7 +110,9 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     """Learn from the rows with text and language; without any, the model knows no language.
 
     Of a language with more than ``docs_per_language`` rows, those of the
-    smallest key hashes are taken, so that about that many take part.
+    smallest hashes of key and text are taken, so that about that many take part;
+    repeated rows, which are taken together, are thinned where more than twice
+    as many come out.  A long text is counted in slices.
     """
     short_batches(labelled.sparkSession)
     rows = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
@@ -112,8 +124,18 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     share = F.lit(0.0)
     for name, n in sizes.items():
         share = F.when(F.col("lang") == name, F.lit(min(1.0, docs_per_language / n))).otherwise(share)
-    u = F.shiftrightunsigned(F.xxhash64(F.col("key").cast("string"), F.lit("sample")), 11) / F.lit(float(1 << 53))
-    sample = rows.where(u < share).select("lang", "text").repartition(_TRAIN_PARTITIONS)
+    def part(*what) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(*what), 11) / F.lit(float(1 << 53))
+
+    sample = rows.where(part(F.col("key").cast("string"), F.lit("sample"), F.xxhash64("text")) < share)
+    many = {r["lang"]: r["n"] for r in sample.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most MAX_LANGUAGES rows
+    thin = F.lit(1.0)
+    for name, n in many.items():
+        if n > 2 * docs_per_language:
+            thin = F.when(F.col("lang") == name, F.lit(docs_per_language / n)).otherwise(thin)
+    if any(n > 2 * docs_per_language for n in many.values()):
+        sample = sample.where(part(F.monotonically_increasing_id()) < thin)
+    sample = sample.select("lang", "text").repartition(_TRAIN_PARTITIONS)
     packed = sample.mapInPandas(_count, "lang string, docs long, counts binary")
     added = packed.groupBy("lang").applyInPandas(_add, "lang string, docs long, counts binary").collect()
     found = sorted((r["lang"], r["docs"], np.frombuffer(bytes(r["counts"]), dtype=np.int64)) for r in added)
@@ -130,14 +152,19 @@ def _score(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np
     if not at or not model.languages:
         return lang, score
     for a, b in chunks([len(texts[i]) for i in at], _BATCH_BYTES):
-        raw = [utf8(texts[i]).lower() for i in at[a:b]]
+        raw = [_characters(texts[i]) for i in at[a:b]]
         data, starts = _packed(raw)
         lengths = np.array([len(t) for t in raw])
         bounds = np.stack((starts, starts + lengths), axis=1).ravel()
         total = np.zeros((b - a, len(model.languages)))
-        for n in GRAMS:
-            rows = np.take(model.log_prob, _hashed(data, n), axis=0)
-            total += np.add.reduceat(rows, bounds, axis=0, dtype=np.float64)[::2]
+        if b - a == 1:  # maybe a long text: slice by slice
+            for part, many in _slices(data, int(lengths[0])):
+                for n in GRAMS:
+                    total[0] += np.take(model.log_prob, _hashed(part, n)[:many], axis=0).sum(axis=0, dtype=np.float64)
+        else:
+            for n in GRAMS:
+                rows = np.take(model.log_prob, _hashed(data, n), axis=0)
+                total += np.add.reduceat(rows, bounds, axis=0, dtype=np.float64)[::2]
         grams = lengths * len(GRAMS)
         total = total * np.minimum(1.0, EVIDENCE / grams)[:, None] + model.prior
         total -= total.max(axis=1, keepdims=True)
@@ -153,8 +180,9 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
     """``df`` with ``lang_pred`` and ``score`` (the prediction's posterior, 0 to 1).
 
     Only the text decides.  Null texts, texts without a letter, and every text
-    under a model without languages give ``und`` with score 0.  Columns of
-    ``df`` with a result's name are replaced; all others are kept.
+    under a model without languages give ``und`` with score 0.  A long text is
+    scored in slices.  Columns of ``df`` with a result's name are replaced; all
+    others are kept whatever their names.
     """
     short_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -166,8 +194,8 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
             yield pd.DataFrame({"lang_pred": lang, "score": score})
 
     predict = predict.asNondeterministic()  # else a filter on the prediction would score every text once more
-    return (df.drop("lang_pred", "score").withColumn("_lid", predict(F.col(text)))
-            .withColumn("lang_pred", F.col("_lid.lang_pred")).withColumn("score", F.col("_lid.score")).drop("_lid"))
+    own, kept = carried(df, ["lang_pred", "score"])
+    return df.select(own, predict(F.col(text)).alias("lid")).select(*kept, "lid.lang_pred", "lid.score")
 
 
 def held_out(key: str = "doc_id"):
