@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import short_batches, stage, table, utf8
+from ratecraft.llm.common import CARRIED, carried, short_batches, stage, table, utf8
 from ratecraft.llm.components import components
 
 SHINGLE = 3
@@ -345,12 +345,39 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     return prints.join(labels, prints.fingerprint == F.col("_f")).select(F.col("key").alias(key), "fingerprint", "component_id")
 
 
+_ATOMS = ("string", "int", "bigint", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp", "binary")
+
+
 def one_per_group(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``df`` that lead their near-duplicate group (smallest key); of
-    repeated keys with the same text one row stays, and so do rows without key or group leader."""
-    groups = near_duplicates(df, key, text, shingle, radius)
-    lost = groups.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_lost")).distinct()
-    return df.join(lost, F.col(key) == F.col("_lost"), "left_anti")
+    """One row of ``df`` for each near-duplicate group: that of the smallest key.
+
+    Rows are told apart by key, text and other plain columns, so that a key
+    that repeats loses only the rows whose text is in a group with another
+    leader.  Of rows equal in all of that one stays; rows of one key in one
+    group leave one, the first by a hash of the others.  Null keys come last.
+    An empty input gives an empty result; all columns of ``df`` are kept.
+    """
+    groups = near_duplicates(df, key, text, shingle, radius).select("fingerprint", F.col("component_id").alias("group")).distinct()
+    own, kept = carried(df, [])
+    plain = [F.col("`" + c.replace("`", "``") + "`") for c, kind in df.dtypes if kind in _ATOMS]
+    mark = F.concat(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")), F.hex(F.xxhash64(*plain)))
+    rows = with_fingerprint(df.select(F.col(key).alias("key"), mark.alias("mark"), F.col(text).alias("text")), "text", shingle).drop("text")
+    groups = groups.withColumnRenamed("fingerprint", "f")
+    seen = stage(rows.groupBy("key", "mark", "fingerprint").agg(F.count(F.lit(1)).alias("n"))
+                 .join(groups, F.col("fingerprint") == F.col("f")).select("key", "mark", "n", "f", "group"), "simhash-rows")
+    # rows without any key share a null group by fingerprint
+    name = F.struct(F.col("group"), F.when(F.col("group").isNull(), F.col("f")).alias("f"))
+    order = F.struct(F.col("key").isNull().alias("last"), "key", "mark")
+    first = seen.groupBy(name.alias("name")).agg(F.min(order).alias("first"))
+    first = first.select(F.col("first.key").alias("k1"), F.col("first.mark").alias("m1")).distinct()
+    marked = seen.join(first, F.col("key").eqNullSafe(F.col("k1")) & (F.col("mark") == F.col("m1")), "left")
+    lost = marked.where("m1 is null").select("key", "mark", F.lit(False).alias("repeated"))
+    fate = stage(lost.unionByName(marked.where("m1 is not null and n > 1").select("key", "mark", F.lit(True).alias("repeated"))).distinct(), "simhash-fate")
+    fate = fate.select(F.col("key").alias("k1"), F.col("mark").alias("m1"), "repeated")
+    out = df.select(own, F.col(key).alias("key"), mark.alias("mark")).join(fate, F.col("key").eqNullSafe(F.col("k1")) & (F.col("mark") == F.col("m1")), "left")
+    once = out.where("repeated is null").select(CARRIED)
+    twice = out.where("repeated").groupBy("mark", "key").agg(F.first(CARRIED).alias(CARRIED)).select(CARRIED)
+    return once.unionByName(twice).select(*kept)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

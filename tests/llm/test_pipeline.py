@@ -72,3 +72,26 @@ def test_entry_lists_the_queries():
     assert {"pipeline", "op1_ann", "op2_license_scan", "op3_quality", "op4_mixing", "op5_topk", "op6_sharding", "op7_packing",
             "op8_simhash", "op9_repeats", "op10_language_id"} <= names
     assert set(e.oracle_sql()) <= names
+
+
+def test_dedup_drops_rows_and_not_ids(docs_of):
+    """Repeated ids: every text that is no copy stays, once, through dedup and the passages."""
+    import corpus_pipeline
+    from ratecraft.llm import simhash
+    a, b, c = (" ".join(f"{name}{i}" for i in range(60)) for name in ("alpha", "beta", "gamma"))
+    docs = docs_of([(1, a), (1, a), (8, b), (9, b), (9, c)])
+    kept = simhash.one_per_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted([(1, a), (8, b), (9, c)])
+    clean = corpus_pipeline.drop_repeated_passages(docs.sparkSession, kept, "")
+    assert all(r["text"] for r in clean.collect())
+
+
+def test_dedup_corner_cases(docs_of, spark):
+    from ratecraft.llm import simhash
+    text = "one two three four five"
+    docs = docs_of([(None, text), (None, text), (3, None), (4, ""), (None, "quite other words than these"), (7, text), (7, text, "en"), (2, "x y z w v u")])
+    got = sorted(((r["doc_id"], r["text"], r["lang"]) for r in simhash.one_per_group(docs).collect()), key=str)
+    assert [g[0] for g in got].count(7) == 1 and (3, None, None) in got and (2, "x y z w v u", None) in got
+    assert (None, "quite other words than these", None) in got and len(got) == 4
+    assert simhash.one_per_group(docs.limit(0)).count() == 0
