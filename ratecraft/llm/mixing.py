@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import stage, table
+from ratecraft.llm.common import carried, stage, table
 
 LEVELS = ("domain", "lang", "source")
 SEED = 4
@@ -132,6 +132,7 @@ def _prefix(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         depth += BITS
         sums = here.groupBy("_leaf", F.shiftrightunsigned(unsigned, 64 - depth).alias("_sub"), "_want").agg(F.sum("_tokens").alias("_sum"), F.count(F.lit(1)).alias("_n"))
         before = Window.partitionBy("_leaf").orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
+        sums = stage(sums, "mix-sums")  # a row for each leaf and range: the window sees no more
         ranges = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
         ranges = stage(ranges, "mix-ranges")
         hit = ranges.where((F.col("_before") < F.col("_want")) & (F.col("_before") + F.col("_sum") >= F.col("_want")))
@@ -163,9 +164,9 @@ def mix(df: DataFrame, levels: dict[str, Column], weights: dict[tuple, float], b
     too.  Repeated rows are rows of their own; rows beyond a leaf's cut are not
     selected, which is what a mix is for.  An empty input gives an empty result.
     """
-    kept = [c for c in (carry or df.columns) if c != "epoch"]
+    own, kept = carried(df, ["epoch"], carry)
     count = tokens if tokens is not None else F.size(F.split(F.trim(F.coalesce(F.col(text), F.lit(""))), r"\s+"))
-    rows = df.select(*kept, *[c.cast("string").alias(f"_level{i}") for i, c in enumerate(levels.values())],
+    rows = df.select(own, *[c.cast("string").alias(f"_level{i}") for i, c in enumerate(levels.values())],
                      F.greatest(count.cast("long"), F.lit(1)).alias("_tokens"), F.col(key).cast("string").alias("_key"),
                      F.xxhash64(text).alias("_text_hash"), F.monotonically_increasing_id().alias("_id"))
     names = [f"_level{i}" for i in range(len(levels))]

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import chunks, release_shuffles, short_batches, stage, table, utf8
+from ratecraft.llm.common import carried, chunks, release_shuffles, short_batches, stage, table, utf8
 
 LENGTH = 200
 ANCHOR = 64
@@ -282,7 +282,8 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     Columns of ``df`` with a result's name are replaced, all others are kept.
     """
     spans = repeated_spans(df, key, text, length).select(F.col("h").alias("_h"), F.col("h2").alias("_h2"), F.col("spans").alias("_spans"))
-    rows = df.drop("kept", "n_bytes", "n_removed", "removed").withColumn("_raw", F.coalesce(F.col(text), F.lit("")))
+    own, cols = carried(df, ["kept", "n_bytes", "n_removed", "removed"])
+    rows = df.select(own, F.coalesce(F.col(text), F.lit("")).alias("_raw"))
     rows = rows.withColumn("_th", F.xxhash64("_raw")).withColumn("_tc", F.crc32(F.col("_raw").cast("binary")))
     joined = rows.join(spans, (F.col("_th") == F.col("_h")) & (F.col("_tc") == F.col("_h2")), "left")
 
@@ -298,7 +299,6 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
             out.append((kept, len(raw), len(raw) - len(kept), [{"s": s, "e": e} for s, e in runs]))
         return pd.DataFrame(out, columns=["kept", "n_bytes", "n_removed", "removed"])
 
-    cols = [c for c in rows.columns if c not in ("_raw", "_th", "_tc")]
     return joined.withColumn("_cut", cut(F.col("_raw"), F.col("_spans"))).select(*cols, "_cut.*")
 
 

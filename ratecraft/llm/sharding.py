@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import stage, table
+from ratecraft.llm.common import carried, stage, table
 
 SHARDS = 40
 
@@ -94,11 +94,10 @@ def shard_rows(df: DataFrame, key: str, tree: list[Shard], grown: list[Shard] |
     Columns of ``df`` that carry a result's name are replaced.
     """
     names = ["region", "rack", "shard", "slot", "grown_shard"]
-    base = df.drop(*names)
-    kept = base.columns
-    out = descend(base, key, tree)
+    own, kept = carried(df, names)
+    out = descend(df.select(own, F.col(key).alias("key")), "key", tree)
     if grown is not None:
-        out = (descend(out, key, grown, "_g_").withColumn("grown_shard", F.col("_g_shard").cast("int"))
+        out = (descend(out, "key", grown, "_g_").withColumn("grown_shard", F.col("_g_shard").cast("int"))
                .drop("_g_region", "_g_rack", "_g_shard"))
     else:
         out = out.withColumn("grown_shard", F.lit(None).cast("int"))
