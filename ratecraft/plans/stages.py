@@ -46,6 +46,16 @@ def clear_memo(spark: SparkSession | None = None) -> None:
         drop_staged(spark)
 
 
+#: The staged flow itself; all else that is kept is derived from it.
+FLOW = {"ratings", "basket_ratings", "outer", "outer_basket", "inner", "folds"}
+
+
+def clear_results(keep: set[str] = frozenset()) -> None:
+    """Forget what queries derived (scores, grids, models), but for names in ``keep``; the staged flow stays."""
+    for key in [k for k in _memo if k[-1] not in FLOW | set(keep)]:
+        del _memo[key]
+
+
 def is_text_source(spark: SparkSession, folder: str) -> bool:
     """True when ``folder`` holds ``ratings.dat`` and ``movies.dat`` (a file
     listing, no job); one without the other is an error."""
