@@ -10,8 +10,9 @@ piece stands for one byte of it), the decoded bytes of the tokens refine the cut
 
 Neither tokenizer merges over a space between two visible characters, so a text
 falls apart there into units whose tokens do not depend on what stands around
-them.  Each new unit is tokenized once by a process, many at a time, and a
-memo of bounded size holds the links and groups of units; a text's are those
+them; nor do the signs that end a sentence depend on the word before them.
+Each new word is tokenized once by a process, many at a time, and a
+memo of bounded size holds, for one run, the links and groups of units; a text's are those
 of its units, one after the other.
 
 One pass over the documents writes their links and figures, and counts for every
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 from itertools import chain
 
@@ -50,6 +52,9 @@ SLICE = 1 << 18
 #: Copies of a pair's count when counts are joined: a hot pair has as many partitions.
 SALTS = 32
 
+#: Signs at the end of a unit that are aligned apart from a word before them.
+_SIGNS = ".,;:!?"
+
 #: A space between two characters that are white space to neither tokenizer.
 _BETWEEN = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
 _OPEN_EDGE = re.compile(r"[^!-~\w]")
@@ -93,6 +98,7 @@ class Aligner:
         self.a = Tokenizer.from_file(vocabulary)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
+        self.last_words: list[str] = []
         self.a_bytes = self._byte_level(self.a)
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.a_lengths = np.array([len(b) for b in self.a_bytes], dtype=np.int64)
@@ -103,6 +109,18 @@ class Aligner:
         self.texts: dict[str, str] = {}
         self.broken: set[str] = set()
         self.held = 0
+        self.run = ""
+        self.tails: dict[str, tuple[bytes, str]] = {}
+        # a sign that some piece of B holds behind a letter may be merged with the word before it
+        decoded = [b.decode("utf-8", "replace") for b in self.b_bytes]
+        merged = {y for piece in decoded for x, y in zip(piece, piece[1:]) if y in _SIGNS and x.isalpha()}
+        self.apart = "".join(c for c in _SIGNS if c not in merged)
+
+    def forget(self, run: str) -> None:
+        """Start with an empty memo in every run."""
+        if run != self.run:
+            self.run, self.held = run, 0
+            self.links, self.texts, self.broken, self.tails = {}, {}, set(), {}
 
     @staticmethod
     def _byte_level(tokenizer) -> list[bytes]:
@@ -171,6 +189,38 @@ class Aligner:
                 self.links[unit], self.texts[unit] = packed[i:x], "".join(words[j:y])[:-1]
                 i, j = x, y
 
+    def _tail(self, signs: str) -> tuple[bytes, str] | None:
+        """Links and groups of signs behind a letter; None where their tokens have other bytes."""
+        if signs not in self.tails:
+            found = self.spans("a" + signs)
+            if found is None:
+                return None
+            a, ends_a, b, ends_b = found
+            pairs, cuts = segments(a, ends_a, b, ends_b)
+            tokens = int(np.searchsorted(ends_a, 2) + np.searchsorted(ends_b, 2)) + 2  # those of space and letter
+            self.tails[signs] = pairs[np.searchsorted(cuts, 2) + 1:].tobytes(), "".join(self._words(a, ends_a, b, ends_b)[tokens:])[:-1]
+        return self.tails[signs]
+
+    def add(self, units: list[str]) -> None:
+        """Align units that the memo lacks.  Signs behind a word that ends in a letter are tokens of
+        their own, so that only the word need be new."""
+        later, fresh = [], []
+        for unit in units:
+            word = unit.rstrip(self.apart)
+            if len(word) < len(unit) and word and word[-1].isalpha() and self._tail(unit[len(word):]):
+                later.append((unit, word))
+            else:
+                fresh.append(unit)
+        known = set(fresh)
+        words = list(dict.fromkeys(w for _, w in later if w not in self.links and w not in known))
+        self.align_units(fresh + words)
+        for unit, word in later:
+            links, groups = self._tail(unit[len(word):])
+            if word in self.broken:
+                self.broken.add(unit)
+            self.links[unit], self.texts[unit] = self.links[word] + links, f"{self.texts[word]};{groups}"
+        self.last_words = words
+
     def _words(self, a: np.ndarray, ends_a: np.ndarray, b: np.ndarray, ends_b: np.ndarray) -> list[str]:
         """``a1,``, ``a2|``, ``b1;``, ...: the tokens group by group, each with the sign that follows it."""
         both = np.intersect1d(ends_a, ends_b, assume_unique=True)
@@ -190,8 +240,8 @@ class Aligner:
             known, extra = self.links, []
             new = [n for n in set(names) if n not in known]
             if new:
-                self.align_units(new)
-                for n in new:
+                self.add(new)
+                for n in new + self.last_words:
                     if len(n) > MEMO_UNIT or self.held > MEMO_CHARACTERS:
                         extra.append(n)
                     else:
@@ -199,7 +249,8 @@ class Aligner:
             whole = self.broken.isdisjoint(names) if self.broken else True
             found = (np.frombuffer(b"".join(map(known.__getitem__, names)), dtype=np.int64), ";".join(map(self.texts.__getitem__, names))) if whole else None
             for n in extra:
-                del self.links[n], self.texts[n]
+                self.links.pop(n, None)
+                self.texts.pop(n, None)
                 self.broken.discard(n)
             yield found
             if not whole:
@@ -283,11 +334,12 @@ _FIRST = [("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("
 _FIRST_DDL = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links array<binary>, pair long, n long"
 
 
-def _documents_and_pairs(files: dict, key_type: pa.DataType):
+def _documents_and_pairs(files: dict, key_type: pa.DataType, run_id: str):
     """Rows of documents (``pair`` null), and at the end rows of pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, counts = _aligner(files), _Counts()
+        aligner.forget(run_id)
         squeeze = zstandard.ZstdCompressor(level=1).compress
 
         def emit(keys: list, columns: list[list]) -> pa.RecordBatch:
@@ -313,7 +365,7 @@ def _documents_and_pairs(files: dict, key_type: pa.DataType):
 def _first_pass(rows: DataFrame, files: dict) -> tuple[DataFrame, DataFrame]:
     """Documents (``key``, their figures and links) and pairs (``a, b, n, best``), both as written tables."""
     kind = rows.schema["key"].dataType
-    found = stage(rows.mapInArrow(_documents_and_pairs(files, to_arrow_type(kind)), f"key {kind.simpleString()}, {_FIRST_DDL}"), "aligned")
+    found = stage(rows.mapInArrow(_documents_and_pairs(files, to_arrow_type(kind), uuid.uuid4().hex), f"key {kind.simpleString()}, {_FIRST_DDL}"), "aligned")
     summed = found.where("pair is not null").groupBy("pair").agg(F.sum("n").alias("n"))
     pairs = stage(summed.select(F.shiftright("pair", 32).alias("a"), F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).alias("b"), "n"), "pairs")
     most = pairs.groupBy("a").agg(F.max("n").alias("most"))
