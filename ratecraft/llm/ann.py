@@ -5,11 +5,20 @@ coordinate: rows get sqrt(M^2 - |x|^2), with M the largest norm, queries are
 scaled to norm M and get zero; then |q' - x'|^2 falls as the inner product
 rises.  Gaussian projections to ``PROJECTED`` dimensions are 2-stable: the
 projected squared distance is |q' - x'|^2 times a chi-square variable of that
-many degrees.  Each block of rows is indexed by a kd-tree over its projections.
-A query takes the tree's leaves in order of their projected distance and
-verifies their rows by the exact inner product, until the chi-square test says
-that a row as near as its k-th best would have shown up by now with probability
-``CONFIDENCE``.  The blocks' answers are merged; every row is indexed.
+many degrees.
+
+The index is a kd-tree over the projections in two parts.  Its upper part is cut
+on a bounded sample and deals all rows into cells, so that a block holds rows
+that lie together; its lower part is a tree in each block.  A query opens the
+leaves in order of their projected distance and takes single points from them in
+order of their own, as far as no unopened leaf could hold a nearer one.  Points
+are verified by the exact inner product until the next one's projected distance
+says, with probability ``CONFIDENCE``, that a row as near as the k-th best would
+have shown up by now.
+
+A query searches its own block first.  The k-th best found there bounds its
+search everywhere else, and a block whose box lies beyond what the bounds of a
+block of queries can reach never travels to them.
 """
 
 from __future__ import annotations
@@ -23,19 +32,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm.blocks import best_ranked, block_pairs, clean_vectors, own_rows, pack_blocks, query_blocks, unpack
+from ratecraft.llm.blocks import NUMBERS, QUERIES, best_ranked, clean_vectors, pack_blocks, unpack
 from ratecraft.llm.common import stage, table
 
 K = 20
 #: Dimensions of the projection (even).
-PROJECTED = 8
+PROJECTED = 16
 CONFIDENCE = 0.95
-#: Rows of a leaf of the kd-tree, and leaves verified between two stopping tests.
-LEAF, STEP = 32, 8
+#: Rows of a leaf of the kd-tree, leaves opened at a time, and points verified between two stopping tests.
+LEAF, STEP, POINTS = 32, 8, 128
+#: Rows on which the upper part of the tree is cut, at most, and numbers in them.
+SAMPLE, SAMPLE_NUMBERS = 1 << 15, 1 << 21
+#: Block boxes that meet a block of queries in one group.
+BOXES = 1024
 SEED = 20
 EVERY = 20
 
-_INDEX = "dim int, block long, ids binary, vectors binary, projected binary, leaves binary, low binary, high binary, place binary"
+_INDEX = ("dim int, block long, ids binary, vectors binary, projected binary, leaves binary, low binary, high binary, place binary, "
+          "box_low array<double>, box_high array<double>")
+_HOME = ("dim int, query_id long, own_block long, own_index long, v array<double>, bound double, "
+         "vec_ids array<long>, scores array<double>, verified long")
+_QUERY = ("dim int, qblock long, ids binary, own_block binary, own_index binary, vectors binary, bounds binary, "
+          "home long, reach double, q_low array<double>, q_high array<double>")
+_FOUND = "query_id long, own_block long, own_index long, vec_id long, score double, verified long"
 
 
 def chi_square_quantile(p: float, degrees: int) -> float:
@@ -74,70 +93,301 @@ def kd_leaves(points: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.ndar
     return order, np.array(sorted(starts) + [len(points)])
 
 
+def _augmented(x: np.ndarray, norm2: float) -> np.ndarray:
+    return np.column_stack((x, np.sqrt(np.maximum(0.0, norm2 - np.einsum("ij,ij->i", x, x)))))
+
+
+# The upper part of the tree ---------------------------------------------------
+
+
+def _upper_tree(points: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Axis and cut of every node of a complete kd-tree, node n above 2n and 2n + 1."""
+    axis, cut = np.zeros(1 << depth, np.int64), np.full(1 << depth, np.inf)
+    parts = {1: points}
+    for node in range(1, 1 << depth):
+        part = parts.pop(node)
+        if len(part):
+            axis[node] = int(np.argmax(part.max(axis=0) - part.min(axis=0)))
+            cut[node] = np.median(part[:, axis[node]])
+        right = part[:, axis[node]] > cut[node]
+        parts[2 * node], parts[2 * node + 1] = part[~right], part[right]
+    return axis, cut
+
+
+def _cells(points: np.ndarray, tree: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    axis, cut = tree
+    node = np.ones(len(points), np.int64)
+    for _ in range(len(axis).bit_length() - 1):
+        node = 2 * node + (points[np.arange(len(points)), axis[node]] > cut[node])
+    return node
+
+
+def _by_cell(norm2: float, m: int, seed: int):
+    """An arrangement for ``pack_blocks``: rows ordered by cell over the partitions.
+
+    A cell of any size is cut by the rows' own numbers, so equal rows fill as
+    many partitions as they need.
+    """
+
+    def arrange(rows: DataFrame, parts: int) -> DataFrame:
+        if parts == 1:
+            return rows.repartition(1)
+        total, wide = rows.agg(F.count(F.lit(1)), F.max("dim")).first()
+        most = max(1, min(SAMPLE, SAMPLE_NUMBERS // wide))
+        picked = rows.where(F.pmod(F.xxhash64("id", "v"), F.lit(total)) < 2 * most).limit(most).collect()  # bounded by ``most``
+        trees = {}
+        for dim in {r["dim"] for r in picked}:
+            x = np.array([r["v"] for r in picked if r["dim"] == dim])
+            depth = min(max(0, len(x) // LEAF).bit_length(), (2 * parts).bit_length())
+            trees[dim] = _upper_tree(_augmented(x, norm2) @ _projection(dim, m, seed), depth)
+
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+            number = TaskContext.get().partitionId() << 33
+            for batch in batches:
+                dims = batch.column("dim").to_numpy()
+                cell = np.zeros(len(dims), np.int64)
+                for dim in np.unique(dims):
+                    if dim in trees:
+                        at = np.flatnonzero(dims == dim)
+                        x = batch.column("v").take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+                        cell[at] = _cells(_augmented(x, norm2) @ _projection(dim, m, seed), trees[dim])
+                own = np.arange(number, number + len(dims))
+                number += len(dims)
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("dim", "id", "v")), pa.array(cell), pa.array(own)],
+                                                 names=["dim", "id", "v", "cell", "own"])
+
+        dealt = rows.mapInArrow(place, "dim int, id long, v array<double>, cell long, own long")
+        return dealt.repartitionByRange(parts, "dim", "cell", "own").sortWithinPartitions("dim", "cell", "own").select("dim", "id", "v")
+
+    return arrange
+
+
+# The tree of a block, and the search in it -------------------------------------
+
+
 def _index(norm2: float, m: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 ids, x = unpack(row)
-                extra = np.sqrt(np.maximum(0.0, norm2 - np.einsum("ij,ij->i", x, x)))
-                points = np.column_stack((x, extra)) @ _projection(x.shape[1], m, seed)
+                points = _augmented(x, norm2) @ _projection(x.shape[1], m, seed)
                 order, leaves = kd_leaves(points)
                 points = points[order]
                 low = np.minimum.reduceat(points, leaves[:-1], axis=0)
                 high = np.maximum.reduceat(points, leaves[:-1], axis=0)
-                out = [points, leaves.astype(np.int64), low, high, order.astype(np.int64)]
+                packed = [ids[order], x[order], points, leaves.astype(np.int64), low, high, order.astype(np.int64)]
+                box = [pa.array([b.tolist()], pa.list_(pa.float64())) for b in (low.min(axis=0), high.max(axis=0))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["dim"]], pa.int32()), pa.array([row["block"]], pa.int64())]
-                    + [pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) for v in (ids[order], x[order], *out)],
-                    names=["dim", "block", "ids", "vectors", "projected", "leaves", "low", "high", "place"])
+                    + [pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) for v in packed] + box,
+                    names=["dim", "block", "ids", "vectors", "projected", "leaves", "low", "high", "place", "box_low", "box_high"])
 
     return run
 
 
-def _search(k: int, norm: float, m: int, seed: int, confidence: float):
-    limit = chi_square_quantile(confidence, m)
-
-    def run(query: dict, block: dict) -> pd.DataFrame:
-        qids, q = unpack(query)
-        ids, x = unpack(block)
-        leaves = np.frombuffer(block["leaves"], dtype=np.int64)
-        low = np.frombuffer(block["low"]).reshape(-1, m)
-        high = np.frombuffer(block["high"]).reshape(-1, m)
-        place = np.frombuffer(block["place"], dtype=np.int64)
-        own = np.full(len(qids), -1)
-        at, index = own_rows(query, block)
-        own[at] = index
-        scale = norm / np.sqrt(np.einsum("ij,ij->i", q, q))
-        projected = np.column_stack((q * scale[:, None], np.zeros(len(q)))) @ _projection(q.shape[1], m, seed)
-        found = []
-        for i in range(len(qids)):
-            gap = np.maximum(0.0, np.maximum(low - projected[i], projected[i] - high))
-            distance = np.einsum("ij,ij->i", gap, gap)
-            order = np.argsort(distance, kind="stable")
-            rows = np.empty(0, np.int64)
-            scores = np.empty(0)
-            for s in range(0, len(order), STEP):
-                if len(rows) == k:
-                    kth = max(0.0, 2 * norm * norm - 2 * scale[i] * scores.min())
-                    if distance[order[s]] > limit * kth:
-                        break
-                new = np.concatenate([np.arange(leaves[n], leaves[n + 1]) for n in order[s: s + STEP]])
-                if own[i] >= 0:
-                    new = new[place[new] != own[i]]
-                rows = np.concatenate((rows, new))
-                scores = np.concatenate((scores, x[new] @ q[i]))
-                if len(rows) > k:
-                    best = np.lexsort((ids[rows], -scores))[:k]
+class _Tree:
+    """One block's tree."""
+
+    def __init__(self, row: dict, norm2: float, m: int, limit: float, k: int):
+        self.ids, self.x = unpack(row)
+        self.points = np.frombuffer(row["projected"]).reshape(-1, m)
+        self.leaves = np.frombuffer(row["leaves"], dtype=np.int64)
+        self.low = np.frombuffer(row["low"]).reshape(-1, m)
+        self.high = np.frombuffer(row["high"]).reshape(-1, m)
+        self.place = np.frombuffer(row["place"], dtype=np.int64)
+        self.norm2, self.limit, self.k = norm2, limit, k
+
+    def search(self, q: np.ndarray, p: np.ndarray, scale: float, bound: float, own: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
+        """Rows of the k largest inner products of at least ``bound`` that the test lets
+        through, their products, and how many rows were verified.  ``p`` is the
+        projected query, ``own`` the place of a row that is no candidate."""
+        gap = np.maximum(0.0, np.maximum(self.low - p, p - self.high))
+        ahead = np.einsum("ij,ij->i", gap, gap)
+        order = np.argsort(ahead, kind="stable")
+        rows, scores, verified = np.empty(0, np.int64), np.empty(0), 0
+        waiting, far = np.empty(0, np.int64), np.empty(0)
+        radius = reach(bound, scale, self.norm2, self.limit)
+        for s in range(0, len(order), STEP):
+            if ahead[order[s]] > radius:
+                break
+            new = np.concatenate([np.arange(self.leaves[n], self.leaves[n + 1]) for n in order[s: s + STEP]])
+            step = self.points[new] - p
+            far = np.concatenate((far, np.einsum("ij,ij->i", step, step)))
+            waiting = np.concatenate((waiting, new))
+            nearest_first = np.argsort(far, kind="stable")
+            waiting, far = waiting[nearest_first], far[nearest_first]
+            ready = int(np.searchsorted(far, ahead[order[s + STEP]], side="right")) if s + STEP < len(order) else len(far)
+            a = 0
+            while a < ready and far[a] <= radius:
+                b = min(a + POINTS, ready)
+                if b < ready:  # points at one projected distance are verified together
+                    b = min(ready, int(np.searchsorted(far, far[b - 1] * (1 + 1e-12), side="right")))
+                taken = waiting[a:b]
+                if own >= 0:
+                    taken = taken[self.place[taken] != own]
+                product = (self.x[taken] * q).sum(axis=1)  # a row's sum has one order, wherever the row stands
+                verified += len(taken)
+                kept = product >= bound
+                rows, scores = np.concatenate((rows, taken[kept])), np.concatenate((scores, product[kept]))
+                if len(rows) >= self.k:
+                    best = np.lexsort((self.ids[rows], -scores))[:self.k]
                     rows, scores = rows[best], scores[best]
-            found.append((np.full(len(rows), i), ids[rows], scores))
-        who = np.concatenate([f[0] for f in found])
-        return pd.DataFrame({"query_id": qids[who], "own_block": np.frombuffer(query["own_block"], dtype=np.int64)[who],
-                             "own_index": np.frombuffer(query["own_index"], dtype=np.int64)[who],
-                             "vec_id": np.concatenate([f[1] for f in found]), "score": np.concatenate([f[2] for f in found])})
+                    radius = reach(scores[-1], scale, self.norm2, self.limit)
+                a = b
+            if a < ready:
+                break
+            waiting, far = waiting[a:], far[a:]
+        return rows, scores, verified
+
+
+def reach(score: float, scale: float, norm2: float, limit: float) -> float:
+    """The projected squared distance beyond which the test stops a search whose k-th best is ``score``."""
+    return limit * max(0.0, 2 * norm2 - 2 * scale * score) * (1 + 1e-9) + 1e-9 * norm2
+
+
+def _projected(q: np.ndarray, norm2: float, m: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The queries' scales to the largest norm, and their projections."""
+    scale = math.sqrt(norm2) / np.sqrt(np.einsum("ij,ij->i", q, q))
+    return scale, np.column_stack((q * scale[:, None], np.zeros(len(q)))) @ _projection(q.shape[1], m, seed)
+
+
+def _home(k: int, norm2: float, m: int, seed: int, limit: float, every: int):
+    """Every query of a block against the block itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                tree = _Tree(row, norm2, m, limit, k)
+                at = np.flatnonzero(tree.ids % every == 0)
+                if not len(at):
+                    continue
+                scale, p = _projected(tree.x[at], norm2, m, seed)
+                out = []
+                for i, j in enumerate(at):
+                    rows, scores, verified = tree.search(tree.x[j], p[i], scale[i], -math.inf, int(tree.place[j]))
+                    bound = float(scores.min()) if len(rows) == k else -math.inf
+                    out.append((row["dim"], int(tree.ids[j]), row["block"], int(tree.place[j]), tree.x[j], bound, tree.ids[rows], scores, verified))
+                columns = list(zip(*out))
+                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.int64()]
+                names = ["dim", "query_id", "own_block", "own_index", "v", "bound", "vec_ids", "scores", "verified"]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=names)
 
     return run
 
 
+def _pack_queries(norm2: float, m: int, seed: int, limit: float):
+    """Blocks of queries that lie together, with the box of their projections and how far the widest search among them reaches."""
+
+    def flush(dim: int, number: int, rows: list[dict]) -> pa.RecordBatch:
+        q = np.array([r["v"] for r in rows])
+        scale, p = _projected(q, norm2, m, seed)
+        widest = max(reach(r["bound"], s, norm2, limit) for r, s in zip(rows, scale))
+        homes = {r["own_block"] for r in rows}
+        numbers = [np.array([r[c] for r in rows], dtype=np.int64) for c in ("query_id", "own_block", "own_index")]
+        packed = [*numbers, q, np.array([r["bound"] for r in rows], dtype=np.float64)]
+        arrays = [pa.array([dim], pa.int32()), pa.array([number], pa.int64()), *[pa.array([v.tobytes()], pa.binary()) for v in packed],
+                  pa.array([homes.pop() if len(homes) == 1 else -1], pa.int64()), pa.array([widest], pa.float64())]
+        arrays += [pa.array([b.tolist()], pa.list_(pa.float64())) for b in (p.min(axis=0), p.max(axis=0))]
+        return pa.RecordBatch.from_arrays(arrays, names=["dim", "qblock", "ids", "own_block", "own_index", "vectors", "bounds", "home", "reach", "q_low", "q_high"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        number = TaskContext.get().partitionId() << 33
+        held: dict[int, list[dict]] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                dim = row["dim"]
+                held.setdefault(dim, []).append(row)
+                if len(held[dim]) >= max(1, min(QUERIES, NUMBERS // dim)):
+                    number += 1
+                    yield flush(dim, number, held.pop(dim))
+        for dim in sorted(held):
+            number += 1
+            yield flush(dim, number, held[dim])
+
+    return run
+
+
+def _abroad(k: int, norm2: float, m: int, seed: int, limit: float):
+    """A block of queries against a block that is not their own."""
+
+    def run(queries: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
+        if not len(queries) or not len(blocks):
+            return pd.DataFrame()
+        query, block = queries.iloc[0].to_dict(), blocks.iloc[0].to_dict()
+        tree = _Tree(block, norm2, m, limit, k)
+        ids, q = unpack(query)
+        own_block, own_index = (np.frombuffer(query[c], dtype=np.int64) for c in ("own_block", "own_index"))
+        bounds = np.frombuffer(query["bounds"])
+        scale, p = _projected(q, norm2, m, seed)
+        asked = np.flatnonzero(own_block != block["block"])
+        if not len(asked):
+            return pd.DataFrame()
+        found = [tree.search(q[i], p[i], scale[i], bounds[i]) for i in asked]
+        # a row for each one found, and for each query a row without vec_id that counts
+        who = np.concatenate((np.repeat(asked, [len(f[0]) for f in found]), asked))
+        rows = np.concatenate([f[0] for f in found])
+        counts = np.array([f[2] for f in found], dtype=np.int64)
+        none = np.arange(len(who)) >= len(rows)
+        return pd.DataFrame({
+            "query_id": ids[who], "own_block": own_block[who], "own_index": own_index[who],
+            "vec_id": pd.arrays.IntegerArray(np.concatenate((tree.ids[rows], np.zeros_like(asked))), none),
+            "score": np.concatenate([f[1] for f in found] + [np.full(len(asked), np.nan)]),
+            "verified": np.concatenate((np.zeros(len(rows), np.int64), counts))})
+
+    return run
+
+
+def _near_pairs(queries: DataFrame, index: DataFrame, m: int) -> DataFrame:
+    """``(qblock, block)`` where the block's box is within the queries' reach.
+
+    Only boxes meet here, in groups of about ``BOXES`` blocks of one dimension.
+    """
+    groups = -(-index.count() // BOXES)
+    boxes = index.select("dim", "block", "box_low", "box_high", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("part"))
+    asked = queries.select("dim", "qblock", "home", "reach", "q_low", "q_high", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"))
+
+    def gap(total, i):
+        apart = F.greatest(F.get("box_low", i) - F.get("q_high", i), F.get("q_low", i) - F.get("box_high", i), F.lit(0.0))
+        return total + apart * apart
+
+    apart = F.aggregate(F.sequence(F.lit(0), F.lit(m - 1)), F.lit(0.0), gap)
+    return asked.join(boxes, ["dim", "part"]).where((F.col("block") != F.col("home")) & (apart <= F.col("reach"))).select("qblock", "block")
+
+
+def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = K, every: int = EVERY,
+           projected: int = PROJECTED, confidence: float = CONFIDENCE, seed: int = SEED) -> DataFrame:
+    """``(query_id, own_block, own_index, vec_id, score, verified)``: what every query found in every
+    block it searched.  ``verified`` adds up to the rows that a query compared exactly; rows that only
+    count have a null ``vec_id``."""
+    vectors = clean_vectors(df, key, vector, nonzero=True)
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    norm2 = vectors.agg(F.max(square).alias("m")).first()["m"] or 1.0
+    if not math.isfinite(norm2):
+        raise ValueError("a vector's squared norm is beyond double precision")
+    limit = chi_square_quantile(confidence, projected)
+    blocks = pack_blocks(vectors, arrange=_by_cell(norm2, projected, seed))
+    index = stage(blocks.mapInArrow(_index(norm2, projected, seed), _INDEX), "ann-index")
+    home = stage(index.mapInArrow(_home(k, norm2, projected, seed, limit, every), _HOME), "ann-home")
+    at_home = home.select("query_id", "own_block", "own_index", F.explode(F.arrays_zip("vec_ids", "scores")).alias("f")).select(
+        "query_id", "own_block", "own_index", F.col("f.vec_ids").alias("vec_id"), F.col("f.scores").alias("score"), F.lit(0).cast("long").alias("verified"))
+    counts = home.select("query_id", "own_block", "own_index", F.lit(None).cast("long").alias("vec_id"), F.lit(None).cast("double").alias("score"), "verified")
+    queries = stage(home.drop("vec_ids", "scores").mapInArrow(_pack_queries(norm2, projected, seed, limit), _QUERY), "ann-queries")
+    pairs = stage(_near_pairs(queries, index, projected), "ann-pairs")
+    left = queries.join(pairs, "qblock").drop("home", "reach", "q_low", "q_high")
+    right = index.drop("box_low", "box_high").join(pairs, "block")
+    abroad = left.groupBy("qblock", "block").cogroup(right.groupBy("qblock", "block")).applyInPandas(
+        _abroad(k, norm2, projected, seed, limit), _FOUND)
+    return at_home.unionByName(counts).unionByName(abroad)
+
+
+def verified_share(found: DataFrame, rows: int) -> float:
+    """The share of all (query, other row) pairs of ``rows`` rows that a ``search`` verified."""
+    total = found.agg(F.sum("verified").alias("v"), F.countDistinct("query_id", "own_block", "own_index").alias("q")).first()
+    return (total["v"] or 0) / max(1, total["q"] * (rows - 1))
+
+
 def nearest(df: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = K, every: int = EVERY,
             projected: int = PROJECTED, confidence: float = CONFIDENCE, seed: int = SEED) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each row whose key is divisible by
@@ -145,17 +395,11 @@ def nearest(df: DataFrame, key: str = "vec_id", vector: str = "embedding", k: in
 
     Rows with a null key, and vectors that are null, empty, zero or hold a null
     or non-finite component, take no part; vectors of different length never
-    meet.  Rows that repeat an id are rows of their own.  Ties go to the smaller
-    key.  An empty input gives an empty result.
+    meet.  Rows that repeat an id are rows of their own.  Equal vectors have equal
+    scores, and ties go to the smaller key.  Other columns take no part.  An empty
+    input gives an empty result; a squared norm beyond double precision is an error.
     """
-    vectors = clean_vectors(df, key, vector, nonzero=True)
-    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    blocks = pack_blocks(vectors)
-    norm2 = vectors.agg(F.max(square).alias("m")).first()["m"] or 1.0
-    index = stage(blocks.mapInArrow(_index(norm2, projected, seed), _INDEX), "ann-index")
-    queries = query_blocks(blocks, lambda ids: ids % every == 0)
-    found = block_pairs(queries, index.drop("projected"), _search(k, math.sqrt(norm2), projected, seed, confidence),
-                        "query_id long, own_block long, own_index long, vec_id long, score double")
+    found = search(df, key, vector, k, every, projected, confidence, seed).where(F.col("vec_id").isNotNull())
     return best_ranked(found, k, F.col("score")).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

@@ -74,14 +74,17 @@ def _pack(rows: int, numbers: int, per_row: tuple[str, ...]):
     return run
 
 
-def pack_blocks(vectors: DataFrame, rows: int = ROWS, numbers: int = NUMBERS) -> DataFrame:
+def pack_blocks(vectors: DataFrame, rows: int = ROWS, numbers: int = NUMBERS, *,
+                arrange: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
     """Candidate blocks ``(dim, block, ids, vectors)`` of ``(id, v)`` rows, as a written table.
 
     Vectors of different dimension never share a block, and so never meet.
+    ``arrange`` deals ``(dim, id, v)`` rows into that many partitions; by default they are dealt evenly.
     """
     size = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
     most = max(1, min(rows, numbers // max(1, size["d"] or 1)))
-    spread = vectors.select(F.size("v").alias("dim"), "id", "v").repartition(max(1, -(-size["n"] // most)))
+    sized, parts = vectors.select(F.size("v").alias("dim"), "id", "v"), max(1, -(-size["n"] // most))
+    spread = arrange(sized, parts) if arrange else sized.repartition(parts)
     return stage(spread.mapInArrow(_pack(rows, numbers, ("id",)), _BLOCK), "blocks")
 
 

@@ -87,3 +87,53 @@ def test_fewer_rows_than_k_and_empty(spark):
 
 def test_chi_square_quantile():
     assert abs(ann.chi_square_quantile(0.95, 6) - 12.5916) < 1e-3 and abs(ann.chi_square_quantile(0.9, 8) - 13.3616) < 1e-3
+
+
+def _planted(n, seed):
+    """Vectors of 32 numbers around one center for every 50 of them."""
+    rnd = np.random.default_rng(seed)
+    centers = rnd.standard_normal((max(1, n // 50), 32))
+    x = centers[rnd.integers(0, len(centers), n)] + 0.35 * rnd.standard_normal((n, 32))
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+@pytest.mark.parametrize("n", [2000, 6000, 16000])
+def test_search_verifies_under_three_tenths_over_many_blocks(spark, monkeypatch, n):
+    monkeypatch.setattr(blocks.pack_blocks, "__defaults__", (1000, 1 << 20))
+    x = _planted(n, n)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    found = ann.search(df, every=100).cache()
+    near = _by_query(ann.best_ranked(found.where("vec_id is not null"), 20, F.col("score")).collect())
+    hit = 0
+    for q in range(0, n, 100):
+        s = x @ x[q]
+        s[q] = -9
+        hit += len({v for v, _ in near[q]} & set(np.argsort(-s)[:20].tolist()))
+    recall, verified = hit / (20 * len(near)), ann.verified_share(found, n)
+    print(f"{n} rows: recall {recall:.3f}, verified {verified:.3f}")
+    found.unpersist()
+    assert len(near) == -(-n // 100) and recall >= 0.9 and verified < 0.3
+
+
+def test_far_blocks_never_meet(spark):
+    boxes = [(8, 1, [0.0, 0.0], [1.0, 1.0]), (8, 2, [9.0, 9.0], [10.0, 10.0]), (4, 3, [0.0, 0.0], [1.0, 1.0])]
+    index = spark.createDataFrame(boxes, "dim int, block long, box_low array<double>, box_high array<double>")
+    asked = [(8, 7, 1, 4.0, [0.5, 0.5], [1.0, 1.0]), (8, 8, -1, float("inf"), [0.5, 0.5], [1.0, 1.0])]
+    queries = spark.createDataFrame(asked, "dim int, qblock long, home long, reach double, q_low array<double>, q_high array<double>")
+    assert sorted(tuple(r) for r in ann._near_pairs(queries, index, 2).collect()) == [(8, 1), (8, 2)]
+
+
+@pytest.mark.parametrize("n", [25, 37, 300, 400])
+def test_equal_vectors_score_alike_and_go_by_id(n):
+    rnd = np.random.default_rng(n)
+    v = rnd.standard_normal(63)
+    x = np.vstack((np.tile(v, (n, 1)), rnd.standard_normal((50, 63)) * 0.1))
+    ids = rnd.permutation(len(x)).astype(np.int64)
+    norm2 = float((v * v).sum())
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pylist([{"dim": 63, "block": 1, "ids": ids.tobytes(), "vectors": x.tobytes()}])
+    row = next(ann._index(norm2, 16, 1)(iter([batch]))).to_pylist()[0]
+    tree = ann._Tree(row, norm2, 16, ann.chi_square_quantile(0.95, 16), 20)
+    scale, p = ann._projected(x[:1], norm2, 16, 1)
+    rows, scores, _ = tree.search(x[0], p[0], scale[0], -math.inf, int(np.flatnonzero(ids == ids[0])[0]))
+    assert len(set(scores)) == 1 and tree.ids[rows].tolist() == sorted(set(ids[:n].tolist()) - {int(ids[0])})[:20]
