@@ -39,10 +39,12 @@ K = 20
 #: Dimensions of the projection (even).
 PROJECTED = 16
 CONFIDENCE = 0.95
-#: Rows of a leaf of the kd-tree, leaves opened at a time, and points verified between two stopping tests.
-LEAF, STEP, POINTS = 32, 8, 128
+#: Rows of a leaf of the kd-tree, leaves opened at a time, and points verified between two stopping tests: first, at most.
+LEAF, STEP, FIRST, POINTS = 32, 32, 64, 512
 #: Rows on which the upper part of the tree is cut, at most, and numbers in them.
 SAMPLE, SAMPLE_NUMBERS = 1 << 15, 1 << 21
+#: Ranges of cells for each block.
+RANGES = 4
 #: Block boxes that meet a block of queries in one group.
 BOXES = 1024
 SEED = 20
@@ -158,12 +160,14 @@ def _by_cell(norm2: float, m: int, seed: int):
                                                  names=["dim", "id", "v", "cell", "own"])
 
         dealt = rows.mapInArrow(place, "dim int, id long, v array<double>, cell long, own long")
-        return dealt.repartitionByRange(parts, "dim", "cell", "own").sortWithinPartitions("dim", "cell", "own").select("dim", "id", "v")
+        # finer ranges than blocks even out what sampled bounds leave uneven; neighbouring ranges are read as one partition
+        fine = dealt.repartitionByRange(RANGES * parts, "dim", "cell", "own").sortWithinPartitions("dim", "cell", "own")
+        return fine.select("dim", "id", "v").coalesce(parts)
 
     return arrange
 
 
-# The tree of a block, and the search in it -------------------------------------
+# The tree of a block, and the search in it ------------------------------------
 
 
 def _index(norm2: float, m: int, seed: int):
@@ -208,6 +212,7 @@ class _Tree:
         rows, scores, verified = np.empty(0, np.int64), np.empty(0), 0
         waiting, far = np.empty(0, np.int64), np.empty(0)
         radius = reach(bound, scale, self.norm2, self.limit)
+        size = FIRST
         for s in range(0, len(order), STEP):
             if ahead[order[s]] > radius:
                 break
@@ -215,25 +220,29 @@ class _Tree:
             step = self.points[new] - p
             far = np.concatenate((far, np.einsum("ij,ij->i", step, step)))
             waiting = np.concatenate((waiting, new))
-            nearest_first = np.argsort(far, kind="stable")
+            nearest_first = np.argsort(far)
             waiting, far = waiting[nearest_first], far[nearest_first]
             ready = int(np.searchsorted(far, ahead[order[s + STEP]], side="right")) if s + STEP < len(order) else len(far)
             a = 0
             while a < ready and far[a] <= radius:
-                b = min(a + POINTS, ready)
+                b = min(a + size, ready)
                 if b < ready:  # points at one projected distance are verified together
                     b = min(ready, int(np.searchsorted(far, far[b - 1] * (1 + 1e-12), side="right")))
+                b = max(a + 1, min(b, int(np.searchsorted(far, radius, side="right"))))
+                size = min(2 * size, POINTS)
                 taken = waiting[a:b]
                 if own >= 0:
                     taken = taken[self.place[taken] != own]
-                product = (self.x[taken] * q).sum(axis=1)  # a row's sum has one order, wherever the row stands
+                product = np.einsum("ij,j->i", self.x[taken], q)  # a row's sum has one order, wherever the row stands
                 verified += len(taken)
-                kept = product >= bound
-                rows, scores = np.concatenate((rows, taken[kept])), np.concatenate((scores, product[kept]))
-                if len(rows) >= self.k:
-                    best = np.lexsort((self.ids[rows], -scores))[:self.k]
-                    rows, scores = rows[best], scores[best]
-                    radius = reach(scores[-1], scale, self.norm2, self.limit)
+                kept = np.flatnonzero(product >= bound)
+                if len(kept):
+                    rows, scores = np.concatenate((rows, taken[kept])), np.concatenate((scores, product[kept]))
+                    if len(rows) >= self.k:
+                        best = np.lexsort((self.ids[rows], -scores))[:self.k]
+                        rows, scores = rows[best], scores[best]
+                        bound = scores[-1]
+                        radius = reach(bound, scale, self.norm2, self.limit)
                 a = b
             if a < ready:
                 break
@@ -325,16 +334,14 @@ def _abroad(k: int, norm2: float, m: int, seed: int, limit: float):
         if not len(asked):
             return pd.DataFrame()
         found = [tree.search(q[i], p[i], scale[i], bounds[i]) for i in asked]
-        # a row for each one found, and for each query a row without vec_id that counts
-        who = np.concatenate((np.repeat(asked, [len(f[0]) for f in found]), asked))
+        # a row for each one found, and one row without vec_id that counts
+        who = np.append(np.repeat(asked, [len(f[0]) for f in found]), asked[0])
         rows = np.concatenate([f[0] for f in found])
-        counts = np.array([f[2] for f in found], dtype=np.int64)
-        none = np.arange(len(who)) >= len(rows)
         return pd.DataFrame({
             "query_id": ids[who], "own_block": own_block[who], "own_index": own_index[who],
-            "vec_id": pd.arrays.IntegerArray(np.concatenate((tree.ids[rows], np.zeros_like(asked))), none),
-            "score": np.concatenate([f[1] for f in found] + [np.full(len(asked), np.nan)]),
-            "verified": np.concatenate((np.zeros(len(rows), np.int64), counts))})
+            "vec_id": pd.arrays.IntegerArray(np.append(tree.ids[rows], 0), np.arange(len(who)) == len(rows)),
+            "score": np.concatenate([f[1] for f in found] + [[np.nan]]),
+            "verified": np.append(np.zeros(len(rows), np.int64), sum(f[2] for f in found))})
 
     return run
 
@@ -359,8 +366,8 @@ def _near_pairs(queries: DataFrame, index: DataFrame, m: int) -> DataFrame:
 def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = K, every: int = EVERY,
            projected: int = PROJECTED, confidence: float = CONFIDENCE, seed: int = SEED) -> DataFrame:
     """``(query_id, own_block, own_index, vec_id, score, verified)``: what every query found in every
-    block it searched.  ``verified`` adds up to the rows that a query compared exactly; rows that only
-    count have a null ``vec_id``."""
+    block it searched.  ``verified`` adds up to the rows that were compared exactly; rows that only
+    count, one for each query at home and one for each pair of blocks, have a null ``vec_id``."""
     vectors = clean_vectors(df, key, vector, nonzero=True)
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     norm2 = vectors.agg(F.max(square).alias("m")).first()["m"] or 1.0
