@@ -3,12 +3,15 @@
 Documents become pieces of at most ``SEQUENCE`` tokens.  Piece lengths are
 whole numbers up to that bound, so the packing problem of any number of pieces
 is one histogram of at most ``SEQUENCE`` counts: that, and nothing else, is
-solved on the driver.  The solver takes the largest length left, enumerates the
-undominated fillings of the space beside it (branch and bound on the waste, the
-best-fit filling as first incumbent), and uses the filling of least waste for
-as many sequences as the counts allow.  The outcome is a list of patterns, each
-for a run of sequences, compared with plain best fit decreasing; the better one
-is kept.
+solved on the driver.  The solver branches over the fillings of a sequence: it
+takes the largest length left, enumerates the undominated fillings of the space
+beside it, least waste first, uses one for as many sequences as the counts allow
+(or for a single one), and goes on with the lengths left; it steps back where the
+waste so far, or a lower bound of what is left, allows no fewer sequences than
+the incumbent has.  Incumbents are plain best fit decreasing, then the plan that
+takes the least waste each time.  A plan is a list of patterns, each for a run of
+sequences.  It is ``proven`` where it meets the lower bound or the search ended
+by itself; a search that used up its steps says so by ``proven = False``.
 
 The pieces are then numbered within their length by partition counts, and a
 piece's number leads to its pattern, sequence and place.
@@ -16,6 +19,7 @@ piece's number leads to its pattern, sequence and place.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -29,8 +33,10 @@ from ratecraft.llm.common import offsets_by_partition, short_batches, stage, tab
 
 SEQUENCE = 1024
 END = 2
-#: Steps of one branch-and-bound search for fillings.
+#: Steps of one branch-and-bound search for the filling of least waste.
 NODES = 4000
+#: Steps of the search over sequences in all, and of the fillings of one of them; a plan says whether they sufficed.
+SEARCH, FILLINGS = 400_000, 4000
 #: Latin letters, digits, punctuation and signs up to here are split alike by both tokenizer libraries.
 _PLAIN_TO = "ɏ"
 
@@ -137,9 +143,10 @@ def token_pieces(df: DataFrame, key: str = "doc_id", text: str = "text", most: i
 
 @dataclass
 class Plan:
-    """``runs``: (sequences, the lengths in each, largest first)."""
+    """``runs``: (sequences, the lengths in each, largest first); ``proven``: no plan has fewer."""
 
     runs: list[tuple[int, tuple[int, ...]]] = field(default_factory=list)
+    proven: bool = False
 
     @property
     def sequences(self) -> int:
@@ -208,20 +215,151 @@ def _completion(room: int, sizes: list[int], counts: dict[int, int], nodes: int)
     return best
 
 
-def bin_completion(histogram: dict[int, int], capacity: int, nodes: int = NODES) -> Plan:
-    """A packing of ``{length: count}`` into as few sequences as the search finds."""
-    bound = max(-(-sum(s * n for s, n in histogram.items()) // capacity), sum(n for s, n in histogram.items() if 2 * s > capacity))
-    greedy = _fill(histogram, capacity, lambda room, sizes, counts: _best_fit(room, sizes, counts))
-    if greedy.sequences <= bound:
-        return greedy
-    searched = _fill(histogram, capacity, lambda room, sizes, counts: _completion(room, sizes, counts, nodes))
-    return min(searched, greedy, key=lambda p: p.sequences)
+def least_sequences(counts: np.ndarray) -> int:
+    """A lower bound for pieces of which ``counts[length]`` have each length up to the capacity.
+
+    For any a: pieces over capacity - a share a sequence with none of length a or
+    more; those over half the capacity have one each, which leaves known room for
+    the pieces from a to half.
+    """
+    capacity = len(counts) - 1
+    half = capacity // 2
+    size = np.arange(capacity + 1)
+    upto, room = np.cumsum(counts), np.cumsum(counts * (capacity - size))
+    tokens = np.cumsum(counts * size)
+    a = np.arange(half + 1)
+    over = upto[capacity] - upto[half]
+    left = room[capacity - a] - room[half]
+    small = tokens[half] - np.where(a > 0, tokens[np.maximum(a, 1) - 1], 0)
+    return int(over + np.maximum(0, -((left - small) // capacity)).max())
+
+
+def _fillings(room: int, sizes: list[int], counts: dict[int, int], waste: int, steps: int) -> tuple[list[tuple[int, ...]], bool]:
+    """The undominated fillings of ``room`` that waste no more than ``waste``, least
+    waste first; and whether the steps sufficed for all of them.
+
+    A filling is dominated if a length left over fits beside it, or in the place
+    of a smaller one of its own.
+    """
+    present = [s for s in sizes if s <= room]
+    total_after = np.cumsum([s * counts[s] for s in reversed(present)])[::-1].tolist() + [0]
+    out: list[tuple[int, tuple[int, ...]]] = []
+    spent = 0
+
+    def dominated(chosen: list[int], left: int) -> bool:
+        used = {s: chosen.count(s) for s in chosen}
+        free = [s for s in present if counts[s] > used.get(s, 0)]
+        if not free:
+            return False
+        return free[-1] <= left or any(s < c <= s + left for s in used for c in free)
+
+    def walk(at: int, left: int, chosen: list[int]) -> None:
+        nonlocal spent
+        spent += 1
+        if spent > steps or left - total_after[at] > waste:
+            return
+        if left <= waste and not dominated(chosen, left):
+            out.append((left, tuple(chosen)))
+        for i in range(at, len(present)):
+            size = present[i]
+            if left - total_after[i] > waste or spent > steps:
+                return
+            for take in range(min(counts[size], left // size), 0, -1):
+                walk(i + 1, left - size * take, chosen + [size] * take)
+
+    walk(0, room, [])
+    out.sort(key=lambda f: (f[0], len(f[1]), tuple(-s for s in f[1])))
+    return [f for _, f in out], spent <= steps
+
+
+def _branch(histogram: dict[int, int], capacity: int, best: Plan, bound: int, search: int, fillings: int) -> Plan:
+    """The best plan of a depth-first search over whole sequences, ``best`` the first incumbent.
+
+    Every step places sequences of one filling around the largest length left.
+    A set of lengths that was left before, with as few sequences, is not searched again.
+    """
+    counts = np.zeros(capacity + 1, np.int64)
+    for size, n in histogram.items():
+        counts[size] = n
+    tokens = int((counts * np.arange(capacity + 1)).sum())
+    whole, spent, seen = True, 0, {}
+    path: list[tuple[int, tuple[int, ...]]] = []
+
+    def children(counts: np.ndarray, wasted: int) -> Iterator[tuple[int, tuple[int, ...]]]:
+        nonlocal whole, spent
+        sizes = np.flatnonzero(counts)[::-1].tolist()
+        first = sizes[0]
+        left = {s: int(counts[s]) for s in sizes}
+        left[first] -= 1
+        allowed = (best.sequences - 1) * capacity - tokens - wasted
+        found, all_found = _fillings(capacity - first, [s for s in sizes if left[s]], left, min(allowed, capacity - first), fillings)
+        whole &= all_found
+        spent += fillings if not all_found else 1 + len(found)
+        if not all_found:  # the filling of least waste is among them in any case
+            found = list(dict.fromkeys([_completion(capacity - first, [s for s in sizes if left[s]], left, fillings), *found]))
+        for rest in found:
+            pattern = (first, *rest)
+            waste = capacity - sum(pattern)
+            most = min(int(counts[s]) // pattern.count(s) for s in set(pattern))
+            if waste:
+                most = min(most, ((best.sequences - 1) * capacity - tokens - wasted) // waste)
+            for times in dict.fromkeys((most, 1)):
+                if 0 < times <= most:
+                    yield times, pattern
+
+    frames = [(children(counts, 0), counts, 0, 0)]
+    while frames:
+        options, counts, used, wasted = frames[-1]
+        step = next(options, None)
+        if step is None:
+            frames.pop()
+            if path:
+                path.pop()
+            continue
+        spent += 1
+        if spent > search:
+            return Plan(best.runs, best.sequences <= bound)
+        times, pattern = step
+        after = counts.copy()
+        for s in pattern:
+            after[s] -= times
+        now, waste = used + times, wasted + times * (capacity - sum(pattern))
+        if not after.any():
+            if now < best.sequences:
+                best = Plan([*path, step])
+                if now <= bound:
+                    break
+            continue
+        if now + least_sequences(after) >= best.sequences:
+            continue
+        key = hashlib.blake2b(after.tobytes(), digest_size=16).digest()
+        if seen.get(key, now + 1) <= now:
+            continue
+        seen[key] = now
+        path.append(step)
+        frames.append((children(after, waste), after, now, waste))
+    return Plan(best.runs, whole or best.sequences <= bound)
+
+
+def bin_completion(histogram: dict[int, int], capacity: int, nodes: int = NODES, search: int = SEARCH, fillings: int = FILLINGS) -> Plan:
+    """A packing of ``{length: count}`` into as few sequences as the search finds; ``proven`` if there is no smaller one."""
+    histogram = {s: n for s, n in histogram.items() if n > 0}
+    if any(s < 1 or s > capacity for s in histogram):
+        raise ValueError("a length does not fit")
+    if not histogram:
+        return Plan(proven=True)
+    bound = least_sequences(np.array([histogram.get(s, 0) for s in range(capacity + 1)], dtype=np.int64))
+    best = _fill(histogram, capacity, lambda room, sizes, counts: _best_fit(room, sizes, counts))
+    if best.sequences > bound:
+        least = _fill(histogram, capacity, lambda room, sizes, counts: _completion(room, sizes, counts, nodes))
+        best = min(least, best, key=lambda p: p.sequences)
+    if best.sequences > bound:
+        return _branch(histogram, capacity, best, bound, search, fillings)
+    return Plan(best.runs, True)
 
 
 def _fill(histogram: dict[int, int], capacity: int, completion) -> Plan:
     counts = {s: n for s, n in histogram.items() if n > 0}
-    if any(s < 1 or s > capacity for s in counts):
-        raise ValueError("a length does not fit")
     plan = Plan()
     while counts:
         sizes = sorted(counts, reverse=True)
@@ -277,7 +415,8 @@ def _place(slots: list[tuple]):
 
 
 def pack(pieces: DataFrame, capacity: int = SEQUENCE, nodes: int = NODES) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``.
+    """``pieces`` with ``sequence_id`` and ``offset``, and on every row ``proven``: whether
+    it is proven that no packing has fewer sequences.
 
     Needs ``length`` (1 to ``capacity``), ``part`` and ``nth`` of a written
     table; other columns are carried along.  The histogram and the patterns are
@@ -288,11 +427,12 @@ def pack(pieces: DataFrame, capacity: int = SEQUENCE, nodes: int = NODES) -> Dat
     placed = F.pandas_udf(_place(_slots(plan)), "sequence_id long, offset long")
     numbered = offsets_by_partition(pieces, ["length"], "part", "nth")
     return (numbered.withColumn("_at", placed(F.col("length").cast("long"), F.col("position")))
-            .withColumn("sequence_id", F.col("_at.sequence_id")).withColumn("offset", F.col("_at.offset")).drop("_at", "position", "part", "nth"))
+            .withColumn("sequence_id", F.col("_at.sequence_id")).withColumn("offset", F.col("_at.offset"))
+            .withColumn("proven", F.lit(plan.proven)).drop("_at", "position", "part", "nth"))
 
 
 def pack_documents(df: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = SEQUENCE, end: int = END, files: dict | None = None) -> DataFrame:
-    """``(key, piece, start, length, ids, sequence_id, offset)`` for every piece of every row.
+    """``(key, piece, start, length, ids, sequence_id, offset, proven)`` for every piece of every row.
 
     Null texts are empty: a piece of the end token alone.  Documents over the
     capacity are cut into full pieces, of which the first may be shorter; no
@@ -307,4 +447,4 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
     digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return pack(digests).select(F.col("key").alias("doc_id"), "piece", "start", F.col("length").cast("long").alias("length"),
-                                "ids_crc32", "sequence_id", "offset")
+                                "ids_crc32", "sequence_id", "offset", "proven")

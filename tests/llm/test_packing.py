@@ -99,6 +99,36 @@ def test_bin_completion_is_near_the_fewest():
     assert off <= 3
 
 
+def test_bin_completion_finds_the_fewest_of_random_sets_and_proves_it():
+    rnd = random.Random(11)
+    for i in range(250):
+        capacity = rnd.choice([20, 50, 100])
+        sizes = [rnd.randint(1, capacity * rnd.choice([2, 3, 4]) // 4) for _ in range(rnd.randint(1, 12))]
+        plan = pk.bin_completion({s: sizes.count(s) for s in set(sizes)}, capacity)
+        assert sorted(s for n, pattern in plan.runs for s in pattern * n) == sorted(sizes)
+        assert all(sum(pattern) <= capacity for _, pattern in plan.runs)
+        assert plan.proven and plan.sequences == _fewest(sizes, capacity), sizes
+
+
+def test_a_search_that_runs_out_of_steps_says_so():
+    rnd = random.Random(4)
+    sizes = [rnd.randint(200, 500) for _ in range(90)]
+    histogram = {s: sizes.count(s) for s in set(sizes)}
+    short = pk.bin_completion(histogram, 1024, nodes=1, search=1, fillings=1)
+    long = pk.bin_completion(histogram, 1024)
+    assert long.sequences <= short.sequences
+    assert short.sequences == pk.least_sequences(np.bincount(sizes, minlength=1025)) or not short.proven
+
+
+@pytest.mark.parametrize("capacity", [7, 8, 20, 1024])
+def test_least_sequences_is_the_plain_bound(capacity):
+    rnd = random.Random(capacity)
+    for _ in range(40):
+        histogram = {rnd.randint(1, capacity): rnd.randint(0, 9) for _ in range(rnd.randint(1, 30))}
+        got = pk.least_sequences(np.array([histogram.get(s, 0) for s in range(capacity + 1)]))
+        assert got == _least_sequences(histogram, capacity)
+
+
 def _least_sequences(histogram, capacity):
     """Lower bound: pieces over capacity - a have sequences without any of length a or more; those over
     half of it have one each, which leaves known room for the pieces of a and more."""
