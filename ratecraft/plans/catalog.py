@@ -362,7 +362,7 @@ def q_genre_explode(spark, sf_dir):
 def q_genre_pivot(spark, sf_dir):
     tr = stages.train_set(spark, sf_dir)
     names = gx.genre_universe(tr)
-    return gx.pivot_genres(tr, ["userId", "movieId"], names, rename={NO_GENRE_LABEL: NO_GENRE_COLUMN})
+    return gx.pivot_genres(tr, ["userId", "movieId"], names, rename={NO_GENRE_LABEL: NO_GENRE_COLUMN}, check_keys=False)
 
 
 def q_genre_flags(spark, sf_dir):
