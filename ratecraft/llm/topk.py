@@ -110,7 +110,8 @@ def top_k(df: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int
     """``(query_id, rank, vec_id, score)``: for each row whose key is divisible by
     ``every``, the k other rows of the highest integer inner product.
 
-    Components become ``floor(scale * x)``; an inner product must fit a long.
+    Components become ``floor(scale * x)``; squared norms of 2^62 or more are an error,
+    as an inner product might not fit a long.
     Rows with a null key, and vectors that are null, empty or hold a null or
     non-finite component, take no part; vectors of different length never meet.
     Rows that repeat an id are rows of their own, ties go to the smaller key,
@@ -122,7 +123,10 @@ def top_k(df: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int
     blocks = pack_blocks(vectors)
     queries = query_blocks(blocks, lambda ids: ids % every == 0)
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    most = int(vectors.agg(F.max(square).alias("m")).first()["m"] or 0) + 1  # no product exceeds the largest squared norm
+    largest = vectors.agg(F.max(square).alias("m")).first()["m"] or 0.0
+    if not largest < 2.0 ** 62:
+        raise ValueError("an inner product may not fit a long")
+    most = int(largest) + 1  # no product exceeds the largest squared norm
     rounds, span = 1, bins
     while span < 2 * most + 1:
         rounds, span = rounds + 1, span * bins

@@ -137,3 +137,10 @@ def test_equal_vectors_score_alike_and_go_by_id(n):
     scale, p = ann._projected(x[:1], norm2, 16, 1)
     rows, scores, _ = tree.search(x[0], p[0], scale[0], -math.inf, int(np.flatnonzero(ids == ids[0])[0]))
     assert len(set(scores)) == 1 and tree.ids[rows].tolist() == sorted(set(ids[:n].tolist()) - {int(ids[0])})[:20]
+
+
+@pytest.mark.parametrize("big", [1e8, 1e12, 1e200])
+def test_products_beyond_a_long_are_an_error(spark, big):
+    df = spark.createDataFrame([(0, [big, 1.0]), (1, [1.0, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="long"):
+        topk.top_k(df)
