@@ -81,23 +81,19 @@ def holdout_flags(df: DataFrame, p: float, seed, keys=ROW_KEYS, by=("stratum",),
     # The row count is one cheap job (Parquet footers on staged input); a literal
     # digit count keeps the bucket expression in generated code.
     digits = bucket_digits(df.count()) if hex_digits is None else hex_digits
-    x = (df.withColumn("_h", split_hash(seed, *keys))
-           .withColumn("_b", split_bucket("_h", digits)))
+    # Rows are written once with their bucket: each is hashed once, and again only in the cut bucket.
+    x = stage(df.withColumn("_b", split_bucket(split_hash(seed, *keys), digits)), "holdout-buckets")
     counts = x.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    cuts = _cut_buckets(counts, p, by)
-    # One row per group (strata x draws): a bounded broadcast.  Every group has
-    # its cut row, so a left join gives the inner join's rows without the
-    # inferred not-null filters that would evaluate the hash twice per row.
-    j = x.join(F.broadcast(cuts), by, "left")
-    # Null-safe equality (buckets are never NULL) keeps Catalyst from inferring
-    # not-null filters that would re-evaluate the hash below the projection.
-    at_cut = F.col("_b").eqNullSafe(F.col("_cut"))
+    # One row per group (strata x draws): a bounded broadcast, of which every group has one.
+    cuts = F.broadcast(stage(_cut_buckets(counts, p, by), "holdout-cuts"))
+    j = x.join(cuts, by, "left")
+    at_cut = F.col("_b").eqNullSafe(F.col("_cut"))  # a group without a cut keeps its rows
     settled = j.where(~at_cut).withColumn(flag, F.col("_b") < F.col("_cut"))
     # Repeated row keys are told apart by the other columns; rows equal in all are interchangeable.
     in_cut = Window.partitionBy(*by).orderBy("_h", *keys, *[c for c in df.columns if c not in keys and c not in by])
-    edge = (j.where(at_cut)
-             .withColumn(flag, F.row_number().over(in_cut) <= F.col("_need")))
-    return settled.unionByName(edge).drop("_h", "_b", "_cut", "_need")
+    edge = (j.where(at_cut).withColumn("_h", split_hash(seed, *keys))
+             .withColumn(flag, F.row_number().over(in_cut) <= F.col("_need")).drop("_h"))
+    return settled.unionByName(stage(edge, "holdout-cut-rows")).drop("_b", "_cut", "_need")
 
 
 def restrict_to_known(test: DataFrame, train: DataFrame, keys=KNOWN_KEYS, by=()) -> DataFrame:
@@ -152,11 +148,12 @@ def stratified_split(df: DataFrame, p: float, seed: str, return_removed: bool,
 
     ``return_removed=True`` (outer split): unmatched hold-out rows go back to
     the training side.  ``False`` (inner split): they are dropped.  Known keys
-    are judged on the training side before rows are returned.  The raw flags
-    are staged once; the result is that staged table plus two broadcast joins
-    with the (small) unknown-key sets, staged again only if those sets are large.
+    are judged on the training side before rows are returned.  The rows are staged
+    once, with the buckets that give the raw flags (``holdout_flags``); the result is
+    that staged table plus broadcast joins with the cuts and the (small)
+    unknown-key sets, staged again only if those sets are large.
     """
-    flagged = stage(holdout_flags(add_strata(df, y), p, seed, flag="_raw_test"), f"holdout-{seed}")
+    flagged = holdout_flags(add_strata(df, y), p, seed, flag="_raw_test")
     flagged, all_small = unknown_flag(flagged, "_raw_test")
     if not return_removed:
         flagged = flagged.where(~F.col("_unknown"))
@@ -170,7 +167,8 @@ def resample_masks(df: DataFrame, times: int = 5, p: float = 0.2, seed: str = RE
     """Repeated stratified hold-outs of the same rows: ``df`` with ``test_mask`` and
     ``drop_mask``, in which bit ``draw - 1`` stands for a draw.
 
-    No row is copied.  One aggregate counts every draw's hash buckets; the cut
+    No row is copied: each is written once with its hash bucket in every draw, from which
+    masks follow as rows are read.  One aggregate counts every draw's hash buckets; the cut
     buckets (one for each draw and stratum) come back as literals.  Rows of no
     cut bucket are settled by comparison, the few others are ranked, ties by all
     columns.  A dropped row is a test row whose user or movie has no training
@@ -179,8 +177,8 @@ def resample_masks(df: DataFrame, times: int = 5, p: float = 0.2, seed: str = RE
     own = df.columns
     x = add_strata(df, y)
     digits = bucket_digits(df.count())
-    x = x.withColumns({f"_h{d}": split_hash(f"{seed}.{d + 1}", *keys) for d in range(times)})
-    x = x.withColumns({f"_b{d}": split_bucket(f"_h{d}", digits) for d in range(times)})
+    hashes = [split_hash(f"{seed}.{d + 1}", *keys) for d in range(times)]
+    x = stage(x.withColumns({f"_b{d}": split_bucket(h, digits).cast("int" if digits < MAX_HEX_DIGITS else "bigint") for d, h in enumerate(hashes)}), f"resample-buckets-{seed}")
     counts = (x.select("stratum", F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.col(f"_b{d}").alias("b")) for d in range(times)])).alias("s"))
               .groupBy("stratum", F.col("s.d").alias("_d"), F.col("s.b").alias("_b")).agg(F.count(F.lit(1)).alias("_c")))
     cuts = _cut_buckets(counts, p, ["stratum", "_d"]).collect()  # one row for each draw and stratum
@@ -206,13 +204,13 @@ def resample_masks(df: DataFrame, times: int = 5, p: float = 0.2, seed: str = RE
 
     settled = x.where(~any_cut).select(*own, mask(below))
     order = [*keys, *[c for c in own if c not in keys]]
-    edge = x.where(any_cut)
+    edge = x.where(any_cut).withColumns({f"_h{d}": h for d, h in enumerate(hashes)})
     for d in range(times):
         edge = edge.withColumn(f"_at{d}", at_cut[d])
         ranked = Window.partitionBy("stratum", f"_at{d}").orderBy(f"_h{d}", *order)
         edge = edge.withColumn(f"_rank{d}", F.row_number().over(ranked))
     edge = edge.select(*own, mask([F.when(F.col(f"_at{d}"), F.col(f"_rank{d}") <= by_stratum(d, "_need")).otherwise(below[d]) for d in range(times)]))
-    flagged = stage(settled.unionByName(edge), f"resamples-{seed}")
+    flagged = settled.unionByName(stage(edge, f"resamples-{seed}-cut-rows"))
 
     out, unknown, small = flagged, F.lit(0), True
     for k in KNOWN_KEYS:

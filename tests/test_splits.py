@@ -112,3 +112,12 @@ def test_split_with_large_unknown_sets_is_staged_and_equal(spark, monkeypatch):
     monkeypatch.setattr(splits, "MAX_LOCAL_UNKNOWN", 0)
     b = sorted(map(tuple, splits.stratified_split(r, 0.1, "0", True).select(key).collect()))
     assert a == b and any(t[2] for t in a)
+
+
+def test_rows_are_hashed_once(spark):
+    """What later steps read holds no hash: buckets are written with the rows."""
+    from ratecraft.operators import splits as sp
+    df = spark.createDataFrame([(u, m, float((u + m) % 10) / 2 + 0.5) for u in range(20) for m in range(15)], "userId long, movieId long, rating double")
+    for out in (sp.holdout_flags(sp.add_strata(df), 0.2, "s"), sp.stratified_split(df, 0.1, "0", True), sp.resample_masks(df)):
+        assert "md5" not in out._jdf.queryExecution().optimizedPlan().toString()
+        assert out.count() == 300
