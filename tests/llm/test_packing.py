@@ -167,3 +167,21 @@ def test_nulls_repeats_long_texts_and_empty(spark, docs_of):
         spans.sort()
         assert all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:])) and spans[0][0] == 0 and sum(spans[-1]) <= 64
     assert pk.pack_documents(docs.limit(0)).count() == 0
+
+
+def test_pieces_are_placed_without_a_shuffle(spark, docs_of):
+    """Ids travel nowhere: only counts by length and partition are exchanged, and broadcast back; more of them than may be broadcast give the same numbers."""
+    from ratecraft.llm import common
+    rnd = random.Random(3)
+    docs = docs_of([(i, "word " * rnd.randint(0, 40)) for i in range(300)]).repartition(5)
+    pieces = pk.token_pieces(docs, most=32)
+    plan = pk.pack(pieces, 32)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and not any("Exchange hashpartitioning" in line and "ids" in line for line in plan.splitlines())
+    counts = common.partition_counts(pieces, "length", "part")
+    few, many = (sorted(map(tuple, common.offsets_by_partition(pieces, counts, "length", "part", "nth", most).select("length", "key", "piece", "position").collect()))
+                 for most in (10**6, 0))
+    assert few == many
+    numbers = defaultdict(list)
+    for length, _, _, position in few:
+        numbers[length].append(position)
+    assert all(sorted(p) == list(range(len(p))) for p in numbers.values())
