@@ -45,6 +45,8 @@ LEAF, STEP, FIRST, POINTS = 32, 32, 64, 512
 SAMPLE, SAMPLE_NUMBERS = 1 << 15, 1 << 21
 #: Ranges of cells for each block.
 RANGES = 4
+#: Queries that come to a block together, and the share of its leaves that they must reach to be multiplied with them at once.
+TOGETHER, DENSE = 64, 0.25
 #: Block boxes that meet a block of queries in one group.
 BOXES = 1024
 SEED = 20
@@ -202,10 +204,38 @@ class _Tree:
         self.place = np.frombuffer(row["place"], dtype=np.int64)
         self.norm2, self.limit, self.k = norm2, limit, k
 
-    def search(self, q: np.ndarray, p: np.ndarray, scale: float, bound: float, own: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
+    def products(self, q: np.ndarray, p: np.ndarray, scale: np.ndarray, bounds: np.ndarray) -> np.ndarray | None:
+        """The queries' inner products with the rows of all leaves within reach of one of
+        them, right but for rounding; None where they reach few."""
+        gap = np.maximum(0.0, np.maximum(self.low - p[:, None], p[:, None] - self.high))
+        radius = np.array([reach(b, s, self.norm2, self.limit) for b, s in zip(bounds, scale)])
+        near = np.einsum("qlm,qlm->ql", gap, gap) <= radius[:, None]
+        if near.mean() < DENSE:
+            return None
+        rows = np.flatnonzero(np.repeat(near.any(axis=0), np.diff(self.leaves)))
+        if len(rows) == len(self.x):
+            return q @ self.x.T
+        out = np.full((len(q), len(self.x)), -math.inf)
+        out[:, rows] = q @ self.x[rows].T
+        return out
+
+    def search_all(self, q: np.ndarray, p: np.ndarray, scale: np.ndarray, bounds: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int]]:
+        """``search`` for each of some queries with bounds, none of them a row of the block."""
+        out = []
+        for at in range(0, len(q), TOGETHER):
+            part = slice(at, at + TOGETHER)
+            given = (q[part], p[part], scale[part], bounds[part])
+            rounded = self.products(*given)
+            out += [self.search(*one, rounded=None if rounded is None else rounded[i]) for i, one in enumerate(zip(*given))]
+        return out
+
+    def search(self, q: np.ndarray, p: np.ndarray, scale: float, bound: float, own: int = -1,
+               rounded: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
         """Rows of the k largest inner products of at least ``bound`` that the test lets
         through, their products, and how many rows were verified.  ``p`` is the
-        projected query, ``own`` the place of a row that is no candidate."""
+        projected query, ``own`` the place of a row that is no candidate.  Where ``rounded``
+        products are at hand, only those that may reach the bound are formed exactly."""
+        slack = 1e-15 * len(q) * self.norm2 / scale
         gap = np.maximum(0.0, np.maximum(self.low - p, p - self.high))
         ahead = np.einsum("ij,ij->i", gap, gap)
         order = np.argsort(ahead, kind="stable")
@@ -233,8 +263,10 @@ class _Tree:
                 taken = waiting[a:b]
                 if own >= 0:
                     taken = taken[self.place[taken] != own]
-                product = np.einsum("ij,j->i", self.x[taken], q)  # a row's sum has one order, wherever the row stands
                 verified += len(taken)
+                if rounded is not None:
+                    taken = taken[rounded[taken] >= bound - slack]
+                product = np.einsum("ij,j->i", self.x[taken], q)  # a row's sum has one order, wherever the row stands
                 kept = np.flatnonzero(product >= bound)
                 if len(kept):
                     rows, scores = np.concatenate((rows, taken[kept])), np.concatenate((scores, product[kept]))
@@ -333,7 +365,7 @@ def _abroad(k: int, norm2: float, m: int, seed: int, limit: float):
         asked = np.flatnonzero(own_block != block["block"])
         if not len(asked):
             return pd.DataFrame()
-        found = [tree.search(q[i], p[i], scale[i], bounds[i]) for i in asked]
+        found = tree.search_all(q[asked], p[asked], scale[asked], bounds[asked])
         # a row for each one found, and one row without vec_id that counts
         who = np.append(np.repeat(asked, [len(f[0]) for f in found]), asked[0])
         rows = np.concatenate([f[0] for f in found])

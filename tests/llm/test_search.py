@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +145,24 @@ def test_products_beyond_a_long_are_an_error(spark, big):
     df = spark.createDataFrame([(0, [big, 1.0]), (1, [1.0, 0.0])], "vec_id long, embedding array<double>")
     with pytest.raises(ValueError, match="long"):
         topk.top_k(df)
+
+
+def test_queries_that_come_together_find_what_each_finds_alone(monkeypatch):
+    """The same rows, products and counts, with exact products only of rows that may reach the bound."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate((rng.standard_normal((3000, 24)), np.repeat(rng.standard_normal((1, 24)), 40, axis=0)))
+    norm2, limit = float(np.square(x).sum(axis=1).max()), ann.chi_square_quantile(0.95, 16)
+    row = next(ann._index(norm2, 16, 1)(iter([pa.RecordBatch.from_pylist([{"dim": 24, "block": 0, "ids": np.arange(len(x)).tobytes(), "vectors": x.tobytes()}])]))).to_pylist()[0]
+    tree = ann._Tree(row, norm2, 16, limit, 20)
+    q = np.concatenate((rng.standard_normal((150, 24)), x[-2:]))
+    scale, p = ann._projected(q, norm2, 16, 1)
+    bounds = np.sort(q @ x.T, axis=1)[:, -30]
+    bounds[:5] = -np.inf
+    alone = [tree.search(*one) for one in zip(q, p, scale, bounds)]
+    formed = []
+    real = np.einsum
+    monkeypatch.setattr(ann.np, "einsum", lambda how, *a: formed.append(len(a[0]) if how == "ij,j->i" else 0) or real(how, *a))
+    together = tree.search_all(q, p, scale, bounds)
+    assert all((a[0] == b[0]).all() and (a[1] == b[1]).all() and a[2] == b[2] for a, b in zip(alone, together))
+    assert sum(formed) < sum(a[2] for a in alone) / 5
+    assert tree.products(q, p, scale, np.sqrt(norm2) * np.linalg.norm(q, axis=1)) is None
