@@ -16,6 +16,11 @@ are verified by the exact inner product until the next one's projected distance
 says, with probability ``CONFIDENCE``, that a row as near as the k-th best would
 have shown up by now.
 
+Queries that lie together are searched together: one matrix product gives the inner
+products, and one the projected distances, of all rows in reach of any of them; the
+points that these leave in question are then taken one by one, in the order and up
+to the point at which each query's search alone would take them.
+
 A query searches its own block first.  The k-th best found there bounds its
 search everywhere else, and a block whose box lies beyond what the bounds of a
 block of queries can reach never travels to them.
@@ -23,6 +28,7 @@ block of queries can reach never travels to them.
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 
@@ -39,14 +45,16 @@ K = 20
 #: Dimensions of the projection (even).
 PROJECTED = 16
 CONFIDENCE = 0.95
-#: Rows of a leaf of the kd-tree, leaves opened at a time, and points verified between two stopping tests: first, at most.
+#: Rows of a leaf of the kd-tree, leaves opened at a time, and points whose products are formed at a time: first, at most.
 LEAF, STEP, FIRST, POINTS = 32, 32, 64, 512
 #: Rows on which the upper part of the tree is cut, at most, and numbers in them.
 SAMPLE, SAMPLE_NUMBERS = 1 << 15, 1 << 21
 #: Ranges of cells for each block.
 RANGES = 4
 #: Queries that come to a block together, and the share of its leaves that they must reach to be multiplied with them at once.
-TOGETHER, DENSE = 64, 0.25
+TOGETHER, DENSE = 64, 0.02
+#: Nearest points that give queries without a bound their first one.
+SEEDS = 256
 #: Block boxes that meet a block of queries in one group.
 BOXES = 1024
 SEED = 20
@@ -202,6 +210,7 @@ class _Tree:
         self.low = np.frombuffer(row["low"]).reshape(-1, m)
         self.high = np.frombuffer(row["high"]).reshape(-1, m)
         self.place = np.frombuffer(row["place"], dtype=np.int64)
+        self.square = np.einsum("ij,ij->i", self.points, self.points)
         self.norm2, self.limit, self.k = norm2, limit, k
 
     def products(self, q: np.ndarray, p: np.ndarray, scale: np.ndarray, bounds: np.ndarray) -> np.ndarray | None:
@@ -219,67 +228,125 @@ class _Tree:
         out[:, rows] = q @ self.x[rows].T
         return out
 
-    def search_all(self, q: np.ndarray, p: np.ndarray, scale: np.ndarray, bounds: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int]]:
-        """``search`` for each of some queries with bounds, none of them a row of the block."""
+    def search_all(self, q: np.ndarray, p: np.ndarray, scale: np.ndarray, bounds: np.ndarray,
+                   own: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray, int]]:
+        """``search`` for each of some queries with bounds; ``own``: the rows of the tree that
+        the queries are, -1 for none."""
         out = []
+        own = np.full(len(q), -1) if own is None else own
         for at in range(0, len(q), TOGETHER):
             part = slice(at, at + TOGETHER)
             given = (q[part], p[part], scale[part], bounds[part])
             rounded = self.products(*given)
-            out += [self.search(*one, rounded=None if rounded is None else rounded[i]) for i, one in enumerate(zip(*given))]
+            if rounded is None:
+                out += [self.search(*one, own=int(self.place[j]) if j >= 0 else -1) for *one, j in zip(*given, own[part])]
+            else:
+                out += self._together(*given, own[part], rounded)
         return out
 
-    def search(self, q: np.ndarray, p: np.ndarray, scale: float, bound: float, own: int = -1,
-               rounded: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+    def _together(self, q: np.ndarray, p: np.ndarray, scale: np.ndarray, bounds: np.ndarray, own: np.ndarray,
+                  rounded: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int]]:
+        """``search`` of queries whose ``rounded`` products are at hand: only points that may
+        reach a query's bound are taken one by one, with exact products and distances."""
+        far = np.einsum("ij,ij->i", p, p)[:, None] + self.square - 2 * (p @ self.points.T)  # right but for rounding
+        slack = 1e-15 * q.shape[1] * self.norm2 / scale
+        asks = np.flatnonzero(own >= 0)
+        rounded[asks, own[asks]] = -math.inf
+        best = [_Best(self, s, b) for s, b in zip(scale, bounds)]
+        for i in np.flatnonzero(np.isneginf(bounds)):  # the nearest points give a bound for the others
+            first = np.argpartition(far[i], SEEDS)[:SEEDS] if SEEDS < far.shape[1] else np.arange(far.shape[1])
+            best[i].take(first[first != own[i]], q[i], p[i])
+            rounded[i, first] = -math.inf
+        least, until = np.array([one.bound for one in best]), np.array([one.until() for one in best])
+        may = (rounded >= (least - slack)[:, None]) & (far <= until[:, None]) & (rounded > -math.inf)
+        who, rows = np.nonzero(may)
+        for i, some in enumerate(np.split(rows, np.searchsorted(who, np.arange(1, len(q))))):
+            if len(some):
+                best[i].take(some, q[i], p[i])
+        until = np.array([one.until() for one in best])
+        verified = np.count_nonzero(far <= until[:, None], axis=1)
+        verified[asks] -= far[asks, own[asks]] <= until[asks]
+        return [(*one.found(), int(n)) for one, n in zip(best, verified)]
+
+    def search(self, q: np.ndarray, p: np.ndarray, scale: float, bound: float, own: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
         """Rows of the k largest inner products of at least ``bound`` that the test lets
-        through, their products, and how many rows were verified.  ``p`` is the
-        projected query, ``own`` the place of a row that is no candidate.  Where ``rounded``
-        products are at hand, only those that may reach the bound are formed exactly."""
-        slack = 1e-15 * len(q) * self.norm2 / scale
+        through, their products, and how many rows were let through.  ``p`` is the
+        projected query, ``own`` the place of a row that is no candidate."""
+        best = _Best(self, scale, bound)
         gap = np.maximum(0.0, np.maximum(self.low - p, p - self.high))
         ahead = np.einsum("ij,ij->i", gap, gap)
         order = np.argsort(ahead, kind="stable")
-        rows, scores, verified = np.empty(0, np.int64), np.empty(0), 0
-        waiting, far = np.empty(0, np.int64), np.empty(0)
-        radius = reach(bound, scale, self.norm2, self.limit)
+        waiting, far, opened = np.empty(0, np.int64), np.empty(0), [np.empty(0)]
         size = FIRST
         for s in range(0, len(order), STEP):
-            if ahead[order[s]] > radius:
+            if ahead[order[s]] > best.radius:
                 break
             new = np.concatenate([np.arange(self.leaves[n], self.leaves[n + 1]) for n in order[s: s + STEP]])
+            if own >= 0:
+                new = new[self.place[new] != own]
             step = self.points[new] - p
-            far = np.concatenate((far, np.einsum("ij,ij->i", step, step)))
-            waiting = np.concatenate((waiting, new))
+            opened.append(np.einsum("ij,ij->i", step, step))
+            far, waiting = np.concatenate((far, opened[-1])), np.concatenate((waiting, new))
             nearest_first = np.argsort(far)
             waiting, far = waiting[nearest_first], far[nearest_first]
             ready = int(np.searchsorted(far, ahead[order[s + STEP]], side="right")) if s + STEP < len(order) else len(far)
             a = 0
-            while a < ready and far[a] <= radius:
+            while a < ready and far[a] <= best.radius:
                 b = min(a + size, ready)
                 if b < ready:  # points at one projected distance are verified together
                     b = min(ready, int(np.searchsorted(far, far[b - 1] * (1 + 1e-12), side="right")))
-                b = max(a + 1, min(b, int(np.searchsorted(far, radius, side="right"))))
+                b = max(a + 1, min(b, int(np.searchsorted(far, best.radius, side="right"))))
                 size = min(2 * size, POINTS)
-                taken = waiting[a:b]
-                if own >= 0:
-                    taken = taken[self.place[taken] != own]
-                verified += len(taken)
-                if rounded is not None:
-                    taken = taken[rounded[taken] >= bound - slack]
-                product = np.einsum("ij,j->i", self.x[taken], q)  # a row's sum has one order, wherever the row stands
-                kept = np.flatnonzero(product >= bound)
-                if len(kept):
-                    rows, scores = np.concatenate((rows, taken[kept])), np.concatenate((scores, product[kept]))
-                    if len(rows) >= self.k:
-                        best = np.lexsort((self.ids[rows], -scores))[:self.k]
-                        rows, scores = rows[best], scores[best]
-                        bound = scores[-1]
-                        radius = reach(bound, scale, self.norm2, self.limit)
+                best.take(waiting[a:b], q, p)
                 a = b
             if a < ready:
                 break
             waiting, far = waiting[a:], far[a:]
-        return rows, scores, verified
+        return *best.found(), int(np.count_nonzero(np.concatenate(opened) <= best.until()))
+
+
+class _Best:
+    """The k best rows of one query so far; with them the bound of its search, and the
+    projected distance beyond which the test stops it."""
+
+    def __init__(self, tree: _Tree, scale: float, bound: float):
+        self.tree, self.scale, self.bound = tree, scale, bound
+        self.radius = reach(bound, scale, tree.norm2, tree.limit)
+        self.last, self.top, self.rows, self.scores = 0.0, [], [], []
+
+    def take(self, rows: np.ndarray, q: np.ndarray, p: np.ndarray) -> None:
+        """Points that are farther than those before, in order of their projected distance,
+        until the test stops; the test is made before each point, but for points at one distance."""
+        score = np.einsum("ij,j->i", self.tree.x[rows], q)  # a row's sum has one order, wherever the row stands
+        kept = np.flatnonzero(score >= self.bound)
+        rows, score = rows[kept], score[kept]
+        step = self.tree.points[rows] - p
+        far = np.einsum("ij,ij->i", step, step)
+        order = np.argsort(far, kind="stable")
+        for row, d, s in zip(rows[order].tolist(), far[order].tolist(), score[order].tolist()):
+            if s < self.bound:
+                continue
+            if d > self.radius and d > self.last * (1 + 1e-12):
+                return
+            self.last = d
+            self.rows.append(row)
+            self.scores.append(s)
+            if len(self.top) < self.tree.k:
+                heapq.heappush(self.top, s)
+            else:
+                heapq.heappushpop(self.top, s)
+            if len(self.top) == self.tree.k and self.top[0] > self.bound:
+                self.bound = self.top[0]
+                self.radius = reach(self.bound, self.scale, self.tree.norm2, self.tree.limit)
+
+    def until(self) -> float:
+        """The projected distance up to which points were let through."""
+        return max(self.radius, self.last * (1 + 1e-12) + 1e-12 * self.tree.norm2)
+
+    def found(self) -> tuple[np.ndarray, np.ndarray]:
+        rows, scores = np.array(self.rows, dtype=np.int64), np.array(self.scores, dtype=np.float64)
+        best = np.lexsort((self.tree.ids[rows], -scores))[:self.tree.k]
+        return rows[best], scores[best]
 
 
 def reach(score: float, scale: float, norm2: float, limit: float) -> float:
@@ -304,9 +371,9 @@ def _home(k: int, norm2: float, m: int, seed: int, limit: float, every: int):
                 if not len(at):
                     continue
                 scale, p = _projected(tree.x[at], norm2, m, seed)
+                found = tree.search_all(tree.x[at], p, scale, np.full(len(at), -math.inf), own=at)
                 out = []
-                for i, j in enumerate(at):
-                    rows, scores, verified = tree.search(tree.x[j], p[i], scale[i], -math.inf, int(tree.place[j]))
+                for j, (rows, scores, verified) in zip(at, found):
                     bound = float(scores.min()) if len(rows) == k else -math.inf
                     out.append((row["dim"], int(tree.ids[j]), row["block"], int(tree.place[j]), tree.x[j], bound, tree.ids[rows], scores, verified))
                 columns = list(zip(*out))
